@@ -17,22 +17,27 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate is within the broadcast threshold of the session."""
+    """Whether the tables ``df`` is made of are together within the broadcast threshold of the session.
+
+    Their sizes are known from the files. Catalyst's estimate for ``df`` itself would multiply the
+    sizes of joined tables, although a look-up adds no rows.
+    """
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= threshold
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) <= threshold
 
 
 def lookup_join(fact: DataFrame, dimension: DataFrame, key: str, *, spread: int = 64) -> DataFrame:
     """``fact`` left-joined to ``dimension``, which holds at most one row per ``key``.
 
-    A dimension within the broadcast threshold is left to Catalyst, which broadcasts it. Beyond it the
-    rows of heavy keys get one of ``spread`` salts, and only the dimension rows of those keys are
-    repeated once per salt, so that no task receives a whole hot key. Rows with a NULL key match
-    nothing; they are salted too, or they would all meet in one task.
+    A dimension made of tables within the broadcast threshold is broadcast. Beyond it the rows of
+    heavy keys get one of ``spread`` salts, and only the dimension rows of those keys are repeated
+    once per salt, so that no task receives a whole hot key. Rows with a NULL key match nothing; they
+    are salted too, or they would all meet in one task.
     """
     if is_small(dimension):
-        return fact.join(dimension, key, "left")
+        return fact.join(F.broadcast(dimension), key, "left")
 
     heavy = F.broadcast(heavy_keys(fact, key).withColumn("_heavy", F.lit(True)))
     other = [name for name in fact.columns if name != key]
@@ -49,3 +54,14 @@ def lookup_join(fact: DataFrame, dimension: DataFrame, key: str, *, spread: int
         .drop("_heavy")
     )
     return salted_fact.join(salted_dimension, [key, "_salt"], "left").drop("_salt")
+
+
+def known_rows(fact: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``fact`` whose key is in ``keys``, which holds every key once: a semi-join safe against hot keys."""
+    return lookup_join(fact, keys.select(key, F.lit(True).alias("_known")), key).where("_known").drop("_known")
+
+
+def unknown_rows(fact: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``fact`` whose key is not in ``keys``, which holds every key once; NULL is in no table."""
+    marked = lookup_join(fact, keys.select(key, F.lit(True).alias("_known")), key)
+    return marked.where(F.col("_known").isNull()).drop("_known")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakemart.contracts import CONTRACTS
 from lakemart.operators import checks, dedupe, ranking, versions
 from lakemart.plans import bronze, build, extended, gold, quality, refresh, reports, silver
-from lakemart.session import checkpointed, new_table_path
+from lakemart.session import new_table_path, stored
 from lakemart.sources import adapters, change_log, files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +26,7 @@ def query(run: Query) -> Query:
 class Tables:
     """The tables of one folder, each put together when first asked for.
 
-    ``keep_silver`` checkpoints the silver tables that several tables of a query read.
+    ``keep_silver`` stores the silver tables that several tables of a query read.
     """
 
     def __init__(self, spark: SparkSession, folder: str, *, keep_silver: bool = False) -> None:
@@ -47,7 +47,7 @@ class Tables:
             made = silver.products(
                 self.table("products_silver_base"), self.table("product_category_translation_silver")
             )
-        return checkpointed(made) if self.keep_silver else made
+        return stored(made, name) if self.keep_silver else made
 
     @property
     def orders(self) -> DataFrame:
@@ -220,9 +220,9 @@ def check_quality(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables(spark, folder, keep_silver=True)
     checked = {rule.table: rule.table for rule in quality.rules()}
     frames = {name: tables.table(name) for name in checked if name.endswith("_silver")}
-    frames["daily_sales_gold"] = checkpointed(tables.daily)
-    frames["category_sales_gold"] = checkpointed(tables.category)
-    frames["customer_ltv_gold"] = checkpointed(tables.ltv)
+    frames["daily_sales_gold"] = stored(tables.daily, "daily_sales_gold")
+    frames["category_sales_gold"] = stored(tables.category, "category_sales_gold")
+    frames["customer_ltv_gold"] = stored(tables.ltv, "customer_ltv_gold")
     return quality.quality(frames)
 
 

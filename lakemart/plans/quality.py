@@ -18,6 +18,7 @@ from lakemart.operators.checks import (
     measure,
     union_all,
 )
+from lakemart.operators.joins import unknown_rows
 
 
 def rules() -> list[TableRules]:
@@ -239,7 +240,7 @@ def row_counts(tables: Mapping[str, DataFrame], expected: DataFrame | Mapping[st
 
 def orphan_items(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items whose order does not exist; the value checks hold only when there are none."""
-    return order_items.join(orders.select("order_id"), "order_id", "left_anti")
+    return unknown_rows(order_items, orders, "order_id")
 
 
 def orders_with_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:

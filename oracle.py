@@ -647,7 +647,7 @@ _STATEMENTS = {
         FROM lineitem""",
     "global_row_number": """
         SELECT o_orderkey, o_totalprice,
-               CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS price_rank
+               row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS price_rank
         FROM orders""",
     "top_n_per_group": """
         SELECT o_custkey, o_orderkey, o_totalprice,
