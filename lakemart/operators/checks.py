@@ -19,8 +19,8 @@ class TableRules:
     """Rules for one table. ``bad`` maps a check name to a predicate no row may satisfy; NULL passes."""
 
     table: str
+    unique: tuple[tuple[str, ...], ...]
     not_null: tuple[str, ...] = ()
-    unique: tuple[tuple[str, ...], ...] = ()
     bad: Mapping[str, Column] = field(default_factory=dict)
 
 
@@ -34,28 +34,37 @@ def as_rows(df: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
-def _row_rules(df: DataFrame, rules: TableRules) -> DataFrame:
-    """All row rules of a table in one pass without a shuffle of its rows."""
-    found = {f"not_null.{name}": F.col(name).isNull() for name in rules.not_null} | dict(rules.bad)
-    counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(found.values())])
-    return as_rows(
-        counts, [{"check_name": F.lit(name), "violations": F.col(f"c{i}")} for i, name in enumerate(found)]
-    )
-
-
-def _unique_rule(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of their key; NULL counts as a value. Combined before the shuffle."""
-    repeats = df.groupBy(*columns).agg((F.count("*") - 1).alias("repeats"))
-    return repeats.agg(F.coalesce(F.sum("repeats"), F.lit(0).cast("long")).alias("violations")).select(
-        F.lit("unique." + ",".join(columns)).alias("check_name"), "violations"
-    )
+def _repeats(count: Column) -> Column:
+    return F.coalesce(F.sum(count - 1), F.lit(0).cast("long"))
 
 
 def check_rules(df: DataFrame, rules: TableRules) -> DataFrame:
-    """``table_name, check_name, violations, passed``: one pass for the row rules, one per unique key."""
-    parts = [_unique_rule(df, columns) for columns in rules.unique]
-    if rules.not_null or rules.bad:
-        parts.insert(0, _row_rules(df, rules))
+    """``table_name, check_name, violations, passed`` of one table.
+
+    The row rules are counted together with the rows of the first unique key, so the table is read
+    once, combined before the shuffle, and not shuffled at all where it is already kept by that key.
+    Every further unique key is a pass of its own over the key. NULL counts as a key.
+    """
+    found = {f"not_null.{name}": F.col(name).isNull() for name in rules.not_null} | dict(rules.bad)
+    violations = [F.count_if(bad).alias(f"r{i}") for i, bad in enumerate(found.values())]
+    names = {f"r{i}": name for i, name in enumerate(found)}
+    first, *others = rules.unique
+    per_key = df.groupBy(*first).agg(F.count("*").alias("n"), *violations)
+    totals = per_key.agg(
+        _repeats(F.col("n")).alias("repeats"),
+        *[F.coalesce(F.sum(column), F.lit(0).cast("long")).alias(column) for column in names],
+    )
+    names["repeats"] = "unique." + ",".join(first)
+    parts = [
+        as_rows(totals, [{"check_name": F.lit(n), "violations": F.col(c)} for c, n in names.items()])
+    ]
+    for columns in others:
+        counted = df.groupBy(*columns).agg(F.count("*").alias("n"))
+        parts.append(
+            counted.agg(_repeats(F.col("n")).alias("violations")).select(
+                F.lit("unique." + ",".join(columns)).alias("check_name"), "violations"
+            )
+        )
     return union_all(parts).select(
         F.lit(rules.table).alias("table_name"),
         "check_name",
