@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import sales_month
 from lakemart.operators.checks import count_rows
 from lakemart.operators.ranking import top_n_per_group
+from lakemart.sources.files import export_csv
 
 
 def daily_trend(daily: DataFrame) -> DataFrame:
@@ -137,3 +138,16 @@ def latest_categories(category: DataFrame, n: int = 10) -> DataFrame:
 
 def best_customers(ltv: DataFrame, n: int = 10) -> DataFrame:
     return ltv.orderBy(F.desc("lifetime_value"), "customer_id").limit(n)
+
+
+def export_reports(daily: DataFrame, category: DataFrame, customers: DataFrame, folder: str) -> None:
+    """Four reports as CSV files with a header, one folder each."""
+    categories = top_categories_by_value(category).drop("gross_freight_value")
+    exports = {
+        "daily_sales_trend": daily_trend(daily),
+        "monthly_sales_summary": monthly_sales(daily, with_average=False),
+        "top_categories_by_revenue": categories,
+        "top_customers_by_ltv": top_customers(customers),
+    }
+    for name, report in exports.items():
+        export_csv(report, f"{folder.rstrip('/')}/{name}")

@@ -48,3 +48,12 @@ def differences(df, connection: duckdb.DuckDBPyConnection, sql: str) -> str | No
         return None
     more, less = found - expected, expected - found
     return f"{sum(more.values())} rows not expected, e.g. {next(iter(more), None)}; missing e.g. {next(iter(less), None)}"
+
+
+def missing_last(row):
+    return tuple((value is None, str(value)) for value in row)
+
+
+def rows(df, *columns):
+    """The rows of a few columns in a fixed order."""
+    return sorted((tuple(row) for row in df.select(*columns).collect()), key=missing_last)
