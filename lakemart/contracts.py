@@ -34,7 +34,7 @@ class RawFile:
         return StructType([StructField(name, StringType()) for name in self.columns])
 
 
-_PRODUCT_NUMBERS = (
+PRODUCT_NUMBERS = (
     "product_name_lenght",
     "product_description_lenght",
     "product_photos_qty",
@@ -44,6 +44,7 @@ _PRODUCT_NUMBERS = (
     "product_width_cm",
 )
 
+# Column names of the raw files, in file order, the types they hold and their letter case.
 RAW_FILES = {
     "orders": RawFile(
         columns=(
@@ -105,8 +106,8 @@ RAW_FILES = {
         styles={"payment_type": "lower"},
     ),
     "products": RawFile(
-        columns=("product_id", "product_category_name", *_PRODUCT_NUMBERS),
-        types=dict.fromkeys(_PRODUCT_NUMBERS, "int"),
+        columns=("product_id", "product_category_name", *PRODUCT_NUMBERS),
+        types=dict.fromkeys(PRODUCT_NUMBERS, "int"),
         styles={"product_category_name": "lower"},
     ),
     "sellers": RawFile(
@@ -147,8 +148,7 @@ RAW_FILES = {
     ),
 }
 
-PRODUCT_NUMBERS = _PRODUCT_NUMBERS
-
+# Record key, ordering and partition column of the 22 tables.
 CONTRACTS = {
     contract.name: contract
     for contract in (

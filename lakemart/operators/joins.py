@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys can hold more than 1/MAX_HEAVY_KEYS of the rows each: the bound of the broadcast.
-MAX_HEAVY_KEYS = 1000
+# A key is heavy when it holds more than 1/PARTS of the rows, so fewer than PARTS keys are.
+PARTS = 10_000
 
 
 def heavy_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that hold more than a thousandth of the rows: fewer than a thousand rows, whatever the data."""
+    """Keys that hold more than a ten-thousandth of the rows, with the ``_salts`` to split each into.
+
+    Each split of a key then holds about a ten-thousandth of the rows. Whatever the data, there are
+    fewer than ``PARTS`` such keys and fewer than ``2 * PARTS`` splits of them all together.
+    """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") * MAX_HEAVY_KEYS > total).select(key)
+    share = F.col("_n") * PARTS / counts.agg(F.sum("_n")).scalar()
+    return counts.where(share > 1).select(key, F.ceil(share).cast("int").alias("_salts"))
 
 
 def is_small(df: DataFrame) -> bool:
@@ -28,31 +32,27 @@ def is_small(df: DataFrame) -> bool:
     return sum(sizes) <= threshold
 
 
-def lookup_join(fact: DataFrame, dimension: DataFrame, key: str, *, spread: int = 64) -> DataFrame:
+def lookup_join(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """``fact`` left-joined to ``dimension``, which holds at most one row per ``key``.
 
     A dimension made of tables within the broadcast threshold is broadcast. Beyond it the rows of
-    heavy keys get one of ``spread`` salts, and only the dimension rows of those keys are repeated
-    once per salt, so that no task receives a whole hot key. Rows with a NULL key match nothing; they
-    are salted too, or they would all meet in one task.
+    each heavy key are split by salts, and only the dimension rows of those keys are repeated, once
+    per salt, so that no task receives a whole hot key. Rows with a NULL key match nothing; they are
+    salted too, or they would all meet in one task.
     """
     if is_small(dimension):
         return fact.join(F.broadcast(dimension), key, "left")
 
-    heavy = F.broadcast(heavy_keys(fact, key).withColumn("_heavy", F.lit(True)))
-    other = [name for name in fact.columns if name != key]
-    salt = F.pmod(F.xxhash64(*other), F.lit(spread)).cast("int")
+    heavy = F.broadcast(heavy_keys(fact, key))
+    salts = F.when(F.col(key).isNull(), F.lit(PARTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    # The salt follows from the row (fact rows differ by their record key), so a task that runs again
+    # splits its rows the same way.
+    row = F.xxhash64(*[name for name in fact.columns if name != key])
     salted_fact = (
-        fact.join(heavy, key, "left")
-        .withColumn("_salt", F.when(F.col("_heavy") | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    last_salt = F.when(F.col("_heavy"), F.lit(spread - 1)).otherwise(F.lit(0))
-    salted_dimension = (
-        dimension.join(heavy, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
-        .drop("_heavy")
+        fact.join(heavy, key, "left").withColumn("_salt", F.pmod(row, salts).cast("int")).drop("_salts")
     )
+    repeated = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    salted_dimension = dimension.join(heavy, key, "left").withColumn("_salt", repeated).drop("_salts")
     return salted_fact.join(salted_dimension, [key, "_salt"], "left").drop("_salt")
 
 

@@ -34,30 +34,28 @@ def add_ingestion_metadata(
 
 def read_types(raw: DataFrame, table: str) -> DataFrame:
     """The raw columns of ``table`` in order, read as their types and normalised."""
-    spec = RAW_FILES[table]
-    missing = [name for name in spec.columns if name not in raw.columns]
+    spec, schema = RAW_FILES[table], raw.schema
+    present = schema.fieldNames()
+    missing = [name for name in spec.columns if name not in present]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
 
     def read(name: str) -> Column:
-        source = raw.schema[name].dataType
         if name in spec.types:
-            return parse(name, spec.types[name], source)
+            return parse(name, spec.types[name], schema[name].dataType)
         text = F.col(name).cast("string")
         return clean(text, spec.styles[name]) if name in spec.styles else text
 
-    extra = [name for name in raw.columns if name not in spec.columns]
+    extra = [name for name in present if name not in spec.columns]
     return raw.select(*[read(name).alias(name) for name in spec.columns], *extra)
 
 
 def rejected_values(raw: DataFrame, table: str) -> DataFrame:
     """Per typed column, the number of values present in the raw text that could not be read."""
-    spec = RAW_FILES[table]
+    schema = raw.schema
     bad = {
-        name: F.count_if(
-            F.col(name).isNotNull() & parse(name, kind, raw.schema[name].dataType).isNull()
-        )
-        for name, kind in spec.types.items()
+        name: F.count_if(F.col(name).isNotNull() & parse(name, kind, schema[name].dataType).isNull())
+        for name, kind in RAW_FILES[table].types.items()
     }
     counts = raw.agg(*[count.alias(name) for name, count in bad.items()])
     return counts.unpivot([], list(bad), "column_name", "rejected")

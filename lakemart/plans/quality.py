@@ -23,6 +23,7 @@ from lakemart.operators.joins import unknown_rows
 
 def rules() -> list[TableRules]:
     """48 rules on nine tables: 24 not-null, 10 unique and 14 row conditions."""
+    # The names of tables, checks and columns.
     col = F.col
     return [
         TableRules(

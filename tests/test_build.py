@@ -208,7 +208,7 @@ def test_delta_load_refreshes_only_the_days_touched(spark, tmp_path):
             commit_time="2",
         )
     bronze_tables = {
-        name: build._stored(spark, root, name, "log") for name in CONTRACTS if name.endswith("_bronze")
+        name: build.open_table(spark, root, name, "log") for name in CONTRACTS if name.endswith("_bronze")
     }
     tables = build.derive(bronze_tables)
     orders, items, payments = (tables[f"{n}_silver"] for n in ("orders", "order_items", "payments"))

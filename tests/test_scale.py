@@ -41,23 +41,37 @@ def dimension(spark):
 
 
 def test_heavy_keys_are_few(spark, skewed):
-    assert rows(joins.heavy_keys(skewed, "k"), "k") == [(7,)]
-    even = spark.range(5000).select(F.col("id").alias("k"))
+    found = {r["k"]: r["_salts"] for r in joins.heavy_keys(skewed, "k").collect()}
+    total, hot = skewed.where("k is not null").count(), skewed.where("k = 7").count()
+    assert found[7] == -(-hot * joins.PARTS // total)
+    assert sum(found.values()) < 2 * joins.PARTS
+    even = spark.range(20_000).select(F.col("id").alias("k"))
     assert joins.heavy_keys(even, "k").count() == 0
 
 
+def test_hot_key_is_split_evenly(skewed, no_broadcast, dimension):
+    """The largest part a task could be handed, by join key and salt, against the largest key."""
+    salts = F.broadcast(joins.heavy_keys(skewed, "k"))
+    parts = (
+        skewed.join(salts, "k", "left")
+        .groupBy("k", F.pmod(F.xxhash64("v"), F.coalesce("_salts", F.lit(joins.PARTS))))
+        .count()
+    )
+    assert parts.agg(F.max("count")).first()[0] <= 16
+
+
 def test_small_dimension_is_broadcast(skewed, dimension):
     found = joins.lookup_join(skewed, dimension, "k")
     assert joins.is_small(dimension) and "BroadcastHashJoin" in plan(found) and "_salt" not in plan(found)
 
 
 def test_large_dimension_is_salted_and_right(spark, skewed, dimension, no_broadcast):
-    found = joins.lookup_join(skewed, dimension, "k", spread=8)
+    found = joins.lookup_join(skewed, dimension, "k")
     assert re.search(r"hashpartitioning\(k#\w+, _salt", plan(found))
     expected = skewed.join(dimension, "k", "left")
     assert found.columns == expected.columns
     assert rows(found, "k", "v", "name") == rows(expected, "k", "v", "name")
-    spread = joins.lookup_join(skewed, dimension, "k", spread=8).where("k = 7")
+    spread = joins.lookup_join(skewed, dimension, "k").where("k = 7")
     assert spread.count() == skewed.where("k = 7").count() >= 10_000
 
 
