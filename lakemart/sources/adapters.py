@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemart.contracts import RAW_FILES
 from lakemart.plans.bronze import BRONZE, add_ingestion_metadata
@@ -15,8 +16,15 @@ from lakemart.plans.bronze import BRONZE, add_ingestion_metadata
 LOADED_AT = "2024-01-01 00:00:00"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read from the file once."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _text(name: str):
