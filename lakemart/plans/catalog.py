@@ -198,17 +198,17 @@ def report_gold_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def report_latest_daily(spark: SparkSession, folder: str) -> DataFrame:
+def report_latest_rows_daily(spark: SparkSession, folder: str) -> DataFrame:
     return reports.latest_daily(Tables(spark, folder).daily)
 
 
 @query
-def report_latest_categories(spark: SparkSession, folder: str) -> DataFrame:
+def report_latest_rows_category(spark: SparkSession, folder: str) -> DataFrame:
     return reports.latest_categories(Tables(spark, folder).category)
 
 
 @query
-def report_best_customers(spark: SparkSession, folder: str) -> DataFrame:
+def report_latest_rows_ltv(spark: SparkSession, folder: str) -> DataFrame:
     return reports.best_customers(Tables(spark, folder).ltv)
 
 

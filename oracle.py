@@ -574,10 +574,10 @@ _STATEMENTS = {
         SELECT 'daily_sales_gold' AS table_name, count(*) AS row_count FROM g_daily
         UNION ALL SELECT 'category_sales_gold', count(*) FROM g_category
         UNION ALL SELECT 'customer_ltv_gold', count(*) FROM g_ltv""",
-    "report_latest_daily": "SELECT * FROM g_daily ORDER BY order_date DESC LIMIT 10",
-    "report_latest_categories": """
+    "report_latest_rows_daily": "SELECT * FROM g_daily ORDER BY order_date DESC LIMIT 10",
+    "report_latest_rows_category": """
         SELECT * FROM g_category ORDER BY order_purchase_date DESC, gross_item_value DESC, category_name LIMIT 10""",
-    "report_best_customers": "SELECT * FROM g_ltv ORDER BY lifetime_value DESC, customer_id LIMIT 10",
+    "report_latest_rows_ltv": "SELECT * FROM g_ltv ORDER BY lifetime_value DESC, customer_id LIMIT 10",
     "check_quality": _quality(),
     "check_freshness": f"SELECT *, actual IS NOT DISTINCT FROM expected AS passed FROM ({_FRESHNESS})",
     "check_reconcile_counts": f"SELECT *, actual IS NOT DISTINCT FROM expected AS passed FROM ({_COUNTS})",

@@ -240,7 +240,7 @@ def test_stream_of_landing_files(spark, tmp_path):
 
     def run():
         kind = spark.createDataFrame([], schema).schema
-        query = merge_landing_files(spark, landing, log, contract, kind, checkpoint)
+        query = merge_landing_files(spark, landing, log, contract, kind, checkpoint, commit_prefix="20240101")
         query.awaitTermination(120)
         assert query.exception() is None
 
