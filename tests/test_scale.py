@@ -10,7 +10,7 @@ from lakemart.contracts import CONTRACTS
 from lakemart.operators import joins
 from lakemart.operators.dedupe import latest_per_key
 from lakemart.operators.ranking import global_row_number, top_n_per_group
-from lakemart.plans import gold, silver
+from lakemart.plans import gold, refresh, silver
 from lakemart.sources import files
 from tests.compare import rows
 
@@ -175,6 +175,20 @@ def test_date_filter_prunes_folders(stored_silver):
     assert "order_purchase_date" in text.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_refresh_reads_only_the_dates_touched(spark, stored_silver):
+    orders, items, payments = stored_silver
+    changed = payments.where("payment_value > 998")
+    dates = refresh.affected_dates(changed, orders)
+    found = refresh.orders_of_dates(orders, dates)
+    assert "dynamicpruning" in plan(found) and "NestedLoop" not in plan(found)
+    assert found.count() == 50
+    with_none = dates.unionByName(dates.selectExpr("cast(null as date) order_purchase_date"))
+    undated = orders.selectExpr("* except(order_purchase_date)", "cast(null as date) order_purchase_date")
+    both = orders.unionByName(undated.limit(7))
+    assert refresh.orders_of_dates(both, with_none).count() == 57
+    assert refresh.orders_of_dates(both, dates).count() == 50
+
+
 def test_category_sales_equal_with_and_without_broadcast(spark, stored_silver):
     orders, items, _ = stored_silver
     hot = items.withColumn("product_id", F.when(F.hash("order_item_key") % 3 == 0, "1").otherwise(F.col("product_id")))
