@@ -209,7 +209,7 @@ def report_latest_rows_category(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def report_latest_rows_ltv(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.best_customers(Tables(spark, folder).ltv)
+    return reports.best_customers(Tables(spark, folder).customer_values)
 
 
 # ---- checks --------------------------------------------------------------------------------------

@@ -57,7 +57,7 @@ def top_categories_by_orders(category: DataFrame, n: int = 15) -> DataFrame:
     )
 
 
-def top_customers(customers: DataFrame, n: int = 20) -> DataFrame:
+def best_customers(customers: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` customers by lifetime value, from the mart or from its rows before ranking.
 
     Within the first ``n`` the rank is the place, so a frame without ``ltv_rank`` needs no ranking of
@@ -67,7 +67,11 @@ def top_customers(customers: DataFrame, n: int = 20) -> DataFrame:
     best = customers.orderBy(*best_first).limit(n)
     if "ltv_rank" not in customers.columns:
         best = best.withColumn("ltv_rank", F.row_number().over(Window.orderBy(*best_first)))
-    return best.select(
+    return best.orderBy("ltv_rank")
+
+
+def top_customers(customers: DataFrame, n: int = 20) -> DataFrame:
+    return best_customers(customers, n).select(
         "customer_id",
         "customer_unique_id",
         "customer_city",
@@ -78,7 +82,7 @@ def top_customers(customers: DataFrame, n: int = 20) -> DataFrame:
         "first_order_date",
         "last_order_date",
         "ltv_rank",
-    ).orderBy("ltv_rank")
+    )
 
 
 def top_states(customers: DataFrame, n: int = 15) -> DataFrame:
@@ -136,10 +140,6 @@ def latest_categories(category: DataFrame, n: int = 10) -> DataFrame:
     return category.orderBy(F.desc("order_purchase_date"), F.desc("gross_item_value"), "category_name").limit(n)
 
 
-def best_customers(ltv: DataFrame, n: int = 10) -> DataFrame:
-    return ltv.orderBy(F.desc("lifetime_value"), "customer_id").limit(n)
-
-
 def export_reports(daily: DataFrame, category: DataFrame, customers: DataFrame, folder: str) -> None:
     """Four reports as CSV files with a header, one folder each."""
     categories = top_categories_by_value(category).drop("gross_freight_value")

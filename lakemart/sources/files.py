@@ -92,6 +92,14 @@ def show_rows(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
+def register_external_tables(spark: SparkSession, paths: Mapping[str, str]) -> None:
+    """Put stored Parquet tables into the session's catalog under their names, with all their partitions."""
+    for name, path in paths.items():
+        table = spark.catalog.createTable(name, path=path, source="parquet")
+        if "PARTITIONED BY" in spark.sql(f"SHOW CREATE TABLE {name}").first()[0]:
+            spark.catalog.recoverPartitions(name)
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make tables available to ``spark.sql`` under their names."""
     for name, df in tables.items():

@@ -502,7 +502,7 @@ def _state(condition: str) -> str:
 
 _TOP_CATEGORIES = """
     SELECT category_name, CAST(sum(order_count) AS BIGINT) AS order_count, {more}
-           round(sum(gross_item_value), 2) AS gross_item_value {freight}
+           CAST(round(sum(gross_item_value), 2) AS DECIMAL(33,2)) AS gross_item_value {freight}
     FROM g_category GROUP BY category_name ORDER BY {order} DESC, category_name LIMIT 15"""
 
 _STATEMENTS = {
@@ -540,34 +540,34 @@ _STATEMENTS = {
         FROM g_daily GROUP BY 1 ORDER BY 1""",
     "report_top_categories_value": _TOP_CATEGORIES.format(
         more="CAST(sum(item_count) AS BIGINT) AS item_count,",
-        freight=", round(sum(gross_freight_value), 2) AS gross_freight_value",
+        freight=", CAST(round(sum(gross_freight_value), 2) AS DECIMAL(33,2)) AS gross_freight_value",
         order="gross_item_value",
     ),
     "report_top_categories_orders": _TOP_CATEGORIES.format(more="", freight="", order="order_count"),
     "report_top_customers": f"""
         SELECT customer_id, customer_unique_id, customer_city, customer_state, order_count,
-               round(lifetime_value, 2) AS lifetime_value,
-               {_scaled(_half_up(_whole('avg_order_value', 8), '1000000'), 2, 38)} AS avg_order_value,
+               CAST(round(lifetime_value, 2) AS DECIMAL(33,2)) AS lifetime_value,
+               {_scaled(_half_up(_whole('avg_order_value', 8), '1000000'), 2, 33)} AS avg_order_value,
                first_order_date, last_order_date, ltv_rank
         FROM g_ltv ORDER BY lifetime_value DESC, customer_id LIMIT 20""",
     "report_top_states": f"""
         SELECT customer_state, count(*) AS customer_count, CAST(sum(order_count) AS BIGINT) AS order_count,
                round(sum(lifetime_value), 2) AS lifetime_value,
                {_scaled(_half_up(_half_up(_half_up(
-                   f"sum({_whole('avg_order_value', 8)}) * 10000", 'count(*)'), '10000'), '1000000'), 2, 38)}
+                   f"sum({_whole('avg_order_value', 8)}) * 10000", 'count(*)'), '10000'), '1000000'), 2, 33)}
                    AS avg_order_value
         FROM g_ltv GROUP BY customer_state ORDER BY lifetime_value DESC, customer_state LIMIT 15""",
     "report_monthly_category_leaders": f"""
         SELECT sales_month, category_name, gross_item_value FROM (
             SELECT {_MONTH.format('order_purchase_date')} AS sales_month, category_name,
-                   round(sum(gross_item_value), 2) AS gross_item_value
+                   CAST(round(sum(gross_item_value), 2) AS DECIMAL(33,2)) AS gross_item_value
             FROM g_category GROUP BY 1, 2)
         QUALIFY row_number() OVER (PARTITION BY sales_month ORDER BY gross_item_value DESC, category_name) <= 3""",
     "report_freight_efficiency": f"""
         SELECT order_date, payment_value, gross_item_value, gross_freight_value,
-               round(payment_value - gross_freight_value, 2) AS payment_minus_freight,
+               CAST(round(payment_value - gross_freight_value, 2) AS DECIMAL(34,2)) AS payment_minus_freight,
                CASE WHEN payment_value <> 0 THEN {_scaled(_half_up(_half_up(
-                   _whole('gross_freight_value', 2) + ' * 1000000', _whole('payment_value', 2)), '100'), 4, 38)}
+                   _whole('gross_freight_value', 2) + ' * 1000000', _whole('payment_value', 2)), '100'), 4, 37)}
                END AS freight_ratio
         FROM g_daily ORDER BY order_date""",
     "report_gold_counts": """

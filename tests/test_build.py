@@ -148,6 +148,26 @@ def test_exports(spark, built, tmp_path):
     assert lines[0].startswith("customer_id,customer_unique_id") and len(lines) == 21
 
 
+def test_external_tables(spark, built):
+    tables, root, table_format = built
+    if table_format == "log":
+        pytest.skip("plain Parquet tables only")
+    names = ["daily_sales_gold", "category_sales_gold", "customer_ltv_gold"]
+    paths = {f"{name}_x": build.table_path(root, CONTRACTS[name]) for name in names}
+    files.register_external_tables(spark, paths)
+    try:
+        listed = {t.name for t in spark.catalog.listTables()}
+        assert set(paths) <= listed
+        for name in names:
+            counted = spark.sql(f"SELECT count(*) FROM {name}_x").first()[0]
+            assert counted == tables[name].count() > 0
+        days = spark.sql("SHOW PARTITIONS daily_sales_gold_x").count()
+        assert days == tables["daily_sales_gold"].count()
+    finally:
+        for name in paths:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_partition_folders(built):
     tables, root, table_format = built
     folders = {p.name for p in Path(f"{root}/gold/daily_sales_gold").iterdir() if p.is_dir()}
