@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.dedupe import latest_per_key
+from lakemart.operators.joins import is_small
 
 COMMIT = "_commit_time"
 
@@ -62,6 +63,29 @@ def as_of(log: DataFrame, key: str, ordering: str, commit_time: str | None = Non
     return latest_per_key(visible, key, [ordering, COMMIT])
 
 
+def overlay(base: DataFrame, later: DataFrame, key: str, ordering: str) -> DataFrame:
+    """The state after the commits of ``later``, laid over ``base``, which holds every key once.
+
+    While the later commits are within the broadcast threshold, ``base`` is only scanned: its rows are
+    compared with the newest later version of their key where they are, without a shuffle. Beyond it
+    the newest version is picked from all rows. The result is that of ``as_of`` over both.
+    """
+    if not is_small(later):
+        return as_of(base.unionByName(later), key, ordering)
+
+    newest = as_of(later, key, ordering)
+    change = F.broadcast(newest.select(F.col(key).alias("_key"), F.struct(*newest.columns).alias("_new")))
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    # Orderings compare with NULL last; on equal ones the later commit wins.
+    newer = F.coalesce(F.col(f"_new.{ordering}") >= F.col(ordering), F.col(ordering).isNull())
+    winner = F.when(F.col("_new").isNotNull() & newer, F.col("_new")).otherwise(F.struct(*newest.columns))
+    current = base.join(change, same_key, "left").select(winner.alias("_row")).select("_row.*")
+
+    # No more rows than the change has: the keys of it that base knows.
+    known = base.select(key).join(change.select("_key"), same_key, "left_semi").withColumnRenamed(key, "_key")
+    return current.unionByName(newest.join(F.broadcast(known), same_key, "left_anti"))
+
+
 def snapshot(log: DataFrame, key: str, ordering: str, *, deleted: str | None = None) -> DataFrame:
     """The latest state. ``deleted`` names a flag column: a key whose newest row is flagged is gone."""
     state = as_of(log, key, ordering)

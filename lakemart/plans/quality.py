@@ -14,6 +14,7 @@ from lakemart.operators.checks import (
     check_rules,
     close_values,
     count_rows,
+    enforce,
     equal_values,
     measure,
     union_all,
@@ -247,3 +248,15 @@ def orphan_items(order_items: DataFrame, orders: DataFrame) -> DataFrame:
 def orders_with_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Orders that have items; the item side is reduced to one row per order before it is shuffled."""
     return orders.join(order_items.select("order_id").distinct(), "order_id", "left_semi")
+
+
+def gate(tables: Mapping[str, DataFrame], expected: DataFrame | Mapping[str, int] | None = None) -> None:
+    """All checks of a finished build, each a hard stop: row counts where expected, quality, freshness, totals."""
+    orders, items, payments = (tables[f"{n}_silver"] for n in ("orders", "order_items", "payments"))
+    marts = [tables[f"{n}_gold"] for n in ("daily_sales", "category_sales", "customer_ltv")]
+    if expected is not None:
+        enforce(row_counts(tables, expected))
+    enforce(quality(tables))
+    enforce(freshness(orders, items, *marts))
+    enforce(reconcile_counts(orders, items, *marts))
+    enforce(reconcile_values(items, payments, *marts))

@@ -1,10 +1,11 @@
 """Versioned tables: a worked example in two commits, and the laws the operators keep."""
 
+import random
 from decimal import Decimal
 
 import pytest
 
-from lakemart.contracts import CONTRACTS
+from lakemart.contracts import CONTRACTS, TableContract
 from lakemart.operators import versions
 from lakemart.sources import change_log
 from tests.compare import rows
@@ -115,15 +116,51 @@ def test_new_and_missing_columns(spark, log_path, seed):
 
 
 def test_change_log_reads_only_the_commits_asked_for(spark, log_path):
-    plan = read(spark, log_path, FIRST)._jdf.queryExecution().executedPlan().toString()
-    assert "_commit_time" in plan.split("PartitionFilters: [")[1].split("]")[0]
     log = change_log.read_log(spark, log_path)
+    plan = versions.as_of(log, "payment_key", "_ingested_at", FIRST)._jdf.queryExecution().executedPlan().toString()
+    assert "_commit_time" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(FIRST in file for file in read(spark, log_path, FIRST).inputFiles())
     changes = versions.changes_since(log, "payment_key", "_ingested_at", FIRST)
     assert rows(changes, "payment_key") == [(UPDATED,), (INSERTED,)]
     merged = versions.upsert(read(spark, log_path, FIRST), changes, "payment_key", "_ingested_at")
     assert rows(merged, *merged.columns) == rows(read(spark, log_path), *merged.columns)
 
 
+def test_one_commit_is_a_plain_scan_and_small_ones_do_not_shuffle_the_base(spark, log_path):
+    one = read(spark, log_path, FIRST)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in one and "Window" not in one
+    two = read(spark, log_path)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in two and "BroadcastHashJoin" in two
+
+
+def test_no_visible_commit(spark, log_path):
+    assert read(spark, log_path, "1").count() == 0
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_state_equals_the_newest_of_all_versions(spark, tmp_path, threshold):
+    """Random commits with late rows, equal and missing orderings and missing keys."""
+    rng = random.Random(11)
+    contract = TableContract("t", "silver", "k", "o")
+    path, everything = str(tmp_path / "log"), []
+    for commit in range(5):
+        data = [
+            (rng.choice([*"abcdefghij", None]), rng.choice([None, 1, 2, 3, 4]), rng.randrange(9)) for _ in range(12)
+        ]
+        df = spark.createDataFrame(data, "k string, o int, v int")
+        change_log.append_commit(df, path, contract, f"c{commit}")
+    log = change_log.read_log(spark, path)
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, threshold)
+    try:
+        for commit in ["c0", "c1", "c3", None]:
+            state = change_log.read_state(spark, path, contract, as_of=commit)
+            expected = versions.as_of(log, "k", "o", commit)
+            assert rows(state, "k", "o", "v", "_commit_time") == rows(expected, "k", "o", "v", "_commit_time")
+    finally:
+        spark.conf.set(name, before)
+
+
 def frame(spark, data):
     return spark.createDataFrame(data, "k string, o int, v string")
 
