@@ -45,15 +45,35 @@ def reconcile_schema(df: DataFrame, target: StructType) -> DataFrame:
 def upsert(current: DataFrame, incoming: DataFrame, key: str, ordering: str) -> DataFrame:
     """``current`` with ``incoming`` merged by key: new keys inserted, newer versions replace older ones.
 
-    On equal ordering values the incoming row wins. Keys are unique over the whole table.
+    On equal ordering values the incoming row wins. ``current`` holds every key once, over the whole
+    table; it is not shuffled while ``incoming`` is within the broadcast threshold.
     """
     rows = reconcile_schema(incoming, current.schema)
-    both = current.withColumn("_incoming", F.lit(0)).unionByName(
-        rows.withColumn("_incoming", F.lit(1)), allowMissingColumns=True
-    )
+    table = reconcile_schema(current, rows.schema)
+    if is_small(rows):
+        return _lay_over(table, newest_in_batch(rows, key, ordering), key, ordering)
+    both = table.withColumn("_incoming", F.lit(0)).unionByName(rows.withColumn("_incoming", F.lit(1)))
     return latest_per_key(both, key, [ordering, "_incoming"]).drop("_incoming")
 
 
+def _lay_over(base: DataFrame, newest: DataFrame, key: str, ordering: str) -> DataFrame:
+    """``base`` with the rows of ``newest`` in place of its own where they are not older, and the new keys.
+
+    Both hold every key once and have the same columns. ``newest`` is small and broadcast, so ``base``
+    is scanned where it is: once for its rows and once for the keys that are known.
+    """
+    change = F.broadcast(newest.select(F.col(key).alias("_key"), F.struct(*newest.columns).alias("_new")))
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    # Orderings compare with NULL last; on equal ones the row of the change wins.
+    newer = F.coalesce(F.col(f"_new.{ordering}") >= F.col(ordering), F.col(ordering).isNull())
+    winner = F.when(F.col("_new").isNotNull() & newer, F.col("_new")).otherwise(F.struct(*newest.columns))
+    current = base.join(change, same_key, "left").select(winner.alias("_row")).select("_row.*")
+
+    # No more rows than the change has.
+    known = base.select(key).join(change.select("_key"), same_key, "left_semi").withColumnRenamed(key, "_key")
+    return current.unionByName(newest.join(F.broadcast(known), same_key, "left_anti"))
+
+
 def as_of(log: DataFrame, key: str, ordering: str, commit_time: str | None = None) -> DataFrame:
     """The state of the table after ``commit_time`` (the latest commit by default).
 
@@ -64,26 +84,14 @@ def as_of(log: DataFrame, key: str, ordering: str, commit_time: str | None = Non
 
 
 def overlay(base: DataFrame, later: DataFrame, key: str, ordering: str) -> DataFrame:
-    """The state after the commits of ``later``, laid over ``base``, which holds every key once.
+    """The state after the commits of ``later``, on top of ``base``, which holds every key once.
 
-    While the later commits are within the broadcast threshold, ``base`` is only scanned: its rows are
-    compared with the newest later version of their key where they are, without a shuffle. Beyond it
-    the newest version is picked from all rows. The result is that of ``as_of`` over both.
+    While the later commits are within the broadcast threshold ``base`` is only scanned; beyond it the
+    newest version of a key is picked from all rows. The result is that of ``as_of`` over both.
     """
-    if not is_small(later):
-        return as_of(base.unionByName(later), key, ordering)
-
-    newest = as_of(later, key, ordering)
-    change = F.broadcast(newest.select(F.col(key).alias("_key"), F.struct(*newest.columns).alias("_new")))
-    same_key = F.col(key).eqNullSafe(F.col("_key"))
-    # Orderings compare with NULL last; on equal ones the later commit wins.
-    newer = F.coalesce(F.col(f"_new.{ordering}") >= F.col(ordering), F.col(ordering).isNull())
-    winner = F.when(F.col("_new").isNotNull() & newer, F.col("_new")).otherwise(F.struct(*newest.columns))
-    current = base.join(change, same_key, "left").select(winner.alias("_row")).select("_row.*")
-
-    # No more rows than the change has: the keys of it that base knows.
-    known = base.select(key).join(change.select("_key"), same_key, "left_semi").withColumnRenamed(key, "_key")
-    return current.unionByName(newest.join(F.broadcast(known), same_key, "left_anti"))
+    if is_small(later):
+        return _lay_over(base, as_of(later, key, ordering), key, ordering)
+    return as_of(base.unionByName(later), key, ordering)
 
 
 def snapshot(log: DataFrame, key: str, ordering: str, *, deleted: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 
 from lakemart.contracts import CONTRACTS, TableContract
 from lakemart.operators import versions
+from lakemart.operators.joins import is_small
 from lakemart.sources import change_log
 from tests.compare import rows
 
@@ -162,10 +163,22 @@ def test_state_equals_the_newest_of_all_versions(spark, tmp_path, threshold):
 
 
 def frame(spark, data):
-    return spark.createDataFrame(data, "k string, o int, v string")
+    """Rows as an SQL table, whose size Catalyst knows."""
+    values = ", ".join(f"('{k}', {'CAST(NULL AS INT)' if o is None else o}, '{v}')" for k, o, v in data)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(k, o, v)")
 
 
-def test_upsert_rules(spark):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_rules(spark, threshold):
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, threshold)
+    try:
+        check_upsert_rules(spark)
+    finally:
+        spark.conf.set(name, before)
+
+
+def check_upsert_rules(spark):
     current = frame(spark, [("a", 5, "old"), ("b", 5, "old"), ("c", 5, "old"), ("e", None, "old")])
     incoming = frame(
         spark,
@@ -173,11 +186,16 @@ def test_upsert_rules(spark):
     )
     expected = [("a", 6, "newer"), ("b", 5, "same"), ("c", 5, "old"), ("d", 2, "second"), ("e", 0, "any")]
     merged = versions.upsert(current, incoming, "k", "o")
+    assert ("Broadcast" in merged._jdf.queryExecution().executedPlan().toString()) == is_small(incoming)
     assert rows(merged, "k", "o", "v") == expected
     again = versions.upsert(merged, incoming, "k", "o")
     assert rows(again, "k", "o", "v") == expected
     spread = versions.upsert(current.repartition(5), incoming.repartition(3), "k", "o")
     assert rows(spread, "k", "o", "v") == expected
+    wider = versions.upsert(current, incoming.selectExpr("v", "k", "o", "1 as extra"), "k", "o")
+    assert wider.columns == ["k", "o", "v", "extra"]
+    assert rows(wider, "k", "o", "v") == expected
+    assert rows(wider.where("extra is null"), "k") == [("c",)]
 
 
 def test_deleted_keys_come_back_with_a_newer_row(spark):
