@@ -278,6 +278,7 @@ def check_row_counts(spark: SparkSession, folder: str) -> DataFrame:
         "daily_sales_gold": t.orders.select("order_purchase_date"),
         "category_sales_gold": extended.sales_enriched(t.items, t.products, t.sellers)
         .select("order_id", "category_name")
+        .distinct()
         .join(t.orders.select("order_id", "order_purchase_date"), "order_id", "left")
         .select("order_purchase_date", "category_name"),
         "customer_ltv_gold": t.orders.select("customer_id"),

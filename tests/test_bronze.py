@@ -96,6 +96,21 @@ def test_equal_rows_are_numbered_in_chunks(spark, chunk):
     assert rows(numbered, "k", "v", "n") == sorted(expected, key=missing_last)
 
 
+def test_days_are_those_of_the_text_in_any_time_zone(spark):
+    raw = spark.createDataFrame(
+        [("o1", "c1", "x", "2018-01-01 23:30:00", None, None, None, None)],
+        ", ".join(f"{name} string" for name in RAW_FILES["orders"].columns),
+    )
+    name, before = "spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Ho_Chi_Minh", "America/Sao_Paulo"):
+            spark.conf.set(name, zone)
+            got = bronze.orders(raw).selectExpr("dt", "date_format(order_purchase_timestamp, 'yyyy-MM-dd HH:mm') t")
+            assert rows(got, "dt", "t") == [(datetime.date(2018, 1, 1), "2018-01-01 23:30")]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_ingestion_metadata(spark):
     df = bronze.add_ingestion_metadata(
         spark.range(1), batch_id="b7", source_file="f.csv", source_system="shop", ingested_at="2024-05-01 10:00:00"
