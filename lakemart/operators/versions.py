@@ -15,6 +15,7 @@ from lakemart.operators.dedupe import latest_per_key
 from lakemart.operators.joins import is_small
 
 COMMIT = "_commit_time"
+DELETED = "_deleted"
 
 
 def newest_in_batch(incoming: DataFrame, key: str, ordering: str) -> DataFrame:
@@ -94,10 +95,21 @@ def overlay(base: DataFrame, later: DataFrame, key: str, ordering: str) -> DataF
     return as_of(base.unionByName(later), key, ordering)
 
 
-def snapshot(log: DataFrame, key: str, ordering: str, *, deleted: str | None = None) -> DataFrame:
-    """The latest state. ``deleted`` names a flag column: a key whose newest row is flagged is gone."""
-    state = as_of(log, key, ordering)
-    return state if deleted is None else state.where(~F.coalesce(F.col(deleted), F.lit(False)))
+def snapshot(log: DataFrame, key: str, ordering: str, *, deleted: str = DELETED) -> DataFrame:
+    """The latest state, without the keys whose newest row is flagged as deleted."""
+    return without_deleted(as_of(log, key, ordering), deleted)
+
+
+def without_deleted(state: DataFrame, deleted: str = DELETED) -> DataFrame:
+    """The rows not flagged in the column ``deleted``, without that column; all rows where it is missing."""
+    if deleted not in state.columns:
+        return state
+    return state.where(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)
+
+
+def deletions(rows: DataFrame) -> DataFrame:
+    """``rows`` as a change that deletes their keys, unless a newer version of a key follows."""
+    return rows.withColumn(DELETED, F.lit(True))
 
 
 def instants(log: DataFrame) -> DataFrame:

@@ -389,7 +389,7 @@ def changes_since(spark: SparkSession, folder: str) -> DataFrame:
 def delete_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Users whose newest event is an error count as deleted."""
     log = adapters.event_log(spark, folder).withColumn("deleted", F.col("event_type") == "error")
-    return versions.snapshot(log, USER, TS, deleted="deleted").drop("deleted")
+    return versions.snapshot(log, USER, TS, deleted="deleted")
 
 
 @query

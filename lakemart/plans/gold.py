@@ -123,6 +123,9 @@ def customer_values(orders: DataFrame, customers: DataFrame, payments: DataFrame
 
 def customer_ltv(orders: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
     """``customer_values`` with each customer's place by lifetime value, then by id."""
-    values = customer_values(orders, customers, payments)
+    return rank_customers(customer_values(orders, customers, payments))
+
+
+def rank_customers(values: DataFrame) -> DataFrame:
     ranked = global_row_number(values, [F.desc("lifetime_value"), F.asc("customer_id")], "ltv_rank")
     return ranked.withColumn("ltv_rank", F.col("ltv_rank").cast("int"))

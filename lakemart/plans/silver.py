@@ -47,11 +47,16 @@ def customers(bronze: DataFrame) -> DataFrame:
     return _latest(_conform(bronze, "customers"), "customers_silver")
 
 
-def payments(bronze: DataFrame) -> DataFrame:
-    """Instalments below 1 count as 1; a payment without a value of at least 0 is left out."""
+def all_payments(bronze: DataFrame) -> DataFrame:
+    """The newest row of every payment, valid or not; instalments below 1 count as 1."""
     at_least_one = F.when(F.col("payment_installments") < 1, 1).otherwise(F.col("payment_installments"))
     conformed = _conform(bronze, "payments").withColumn("payment_installments", at_least_one)
-    return _latest(conformed, "payments_silver").where(F.col("payment_value") >= 0)
+    return _latest(conformed, "payments_silver")
+
+
+def payments(bronze: DataFrame) -> DataFrame:
+    """A payment whose newest row has no value of at least 0 is left out."""
+    return all_payments(bronze).where(F.col("payment_value") >= 0)
 
 
 def products_base(bronze: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakemart.contracts import CONTRACTS, RAW_FILES
 from lakemart.operators import versions
 from lakemart.operators.checks import enforce
-from lakemart.plans import build, gold, quality, refresh, reports
+from lakemart.plans import build, gold, quality, refresh, reports, silver
 from lakemart.sources import change_log, files
 from lakemart.streaming.commits import merge_landing_files
 from tests.compare import rows
@@ -31,6 +31,9 @@ def raw_rows():
             data["order_items"].append(
                 [f"o{n}", item, f"p{rng.randrange(8)}", f"s{n % 3}", day(n + 1), f"{5 + item}.25", "1.10"]
             )
+    data["orders"].append(["solo", "c1", "shipped", "2018-06-01 10:00:00", "", "", "", ""])
+    data["payments"].append(["solo", 1, "voucher", 1, "12.00"])
+    data["order_items"].append(["solo", 1, "p0", "s0", "2018-06-02 10:00:00", "7.00", "1.00"])
     for n in range(20):
         data["customers"].append([f"c{n}", f"u{n}", f"0{n:04d}", "sao paulo", "sp"])
     for n in range(8):
@@ -185,12 +188,18 @@ def test_running_again_gives_the_same_tables(spark, built, tmp_path):
 
 
 def delta(spark):
-    """Order o3 moves to another day, o9 gets one more item, o5 pays less."""
-    columns = {name: list(RAW_FILES[name].columns) for name in ("orders", "order_items", "payments")}
+    """Orders o3 and solo move to another day, solo's day is left without orders, o9 gets one more item, o5 pays less, o7 not validly; a category is renamed."""
+    names = ("orders", "order_items", "payments", "products", "product_category_translation")
+    columns = {name: list(RAW_FILES[name].columns) for name in names}
     return {
-        "orders": [["o3", "c3", "delivered", "2018-03-28 10:00:00", "", "", "2018-03-30 00:00:00", ""]],
+        "orders": [
+            ["o3", "c3", "delivered", "2018-03-28 10:00:00", "", "", "2018-03-30 00:00:00", ""],
+            ["solo", "c1", "delivered", "2018-06-03 10:00:00", "", "", "", ""],
+        ],
         "order_items": [["o9", "9", "p1", "s1", "2018-05-01 10:00:00", "100.00", "2.00"]],
-        "payments": [["o5", "1", "boleto", "1", "1.00"]],
+        "payments": [["o5", "1", "boleto", "1", "1.00"], ["o7", "1", "boleto", "1", "-5.00"]],
+        "products": [["p2", "beleza", "5", "9", "1", "100", "", "3", "4"]],
+        "product_category_translation": [["jogos", "games"]],
     }, columns
 
 
@@ -228,19 +237,35 @@ def test_delta_load_refreshes_only_the_days_touched(spark, tmp_path):
     orders, items, payments = (tables[f"{n}_silver"] for n in ("orders", "order_items", "payments"))
     assert items.where("order_id = 'o9'").count() == 1
 
-    ids = spark.createDataFrame([("o3",), ("o9",), ("o5",)], "order_id string")
+    ids = spark.createDataFrame([("o3",), ("o9",), ("o5",), ("o7",), ("solo",)], "order_id string")
     dates = refresh.affected_dates(ids, before, orders)
-    assert dates.count() == 4
+    assert dates.count() == 7
     daily = refresh.refresh_daily_sales(orders, items, payments, dates)
+    refresh.swap_dates(daily, dates, daily_path, "order_date")
+    renamed = versions.version_diff(
+        first["products_silver"], tables["products_silver"], "product_id", ["product_category_name_english"]
+    ).where("change_type <> 'unchanged'")
+    dates = refresh.affected_dates(ids.union(refresh.orders_of_products(items, renamed)), before, orders)
     category = refresh.refresh_category_sales(items, tables["products_silver"], orders, dates)
-    files.write_parquet(daily, daily_path, partition="order_date", replace_touched_only=True)
-    files.write_parquet(category, category_path, partition="order_purchase_date", replace_touched_only=True)
+    refresh.swap_dates(category, dates, category_path, "order_purchase_date")
+    assert not rows(files.read_parquet(spark, category_path).where("gold_key like '2018-06-01%'"), "gold_key")
 
     full = gold.daily_sales(orders, items, payments)
     assert rows(files.read_parquet(spark, daily_path), *full.columns) == rows(full, *full.columns)
     full = gold.category_sales(items, tables["products_silver"], orders)
     assert rows(files.read_parquet(spark, category_path), *full.columns) == rows(full, *full.columns)
 
+    mart, customers = first["customer_ltv_gold"].drop("_commit_time"), tables["customers_silver"]
+    people = refresh.affected_customers(ids, before, orders)
+    refreshed = refresh.refresh_customer_ltv(mart, orders, customers, payments, people)
+    full = gold.customer_ltv(orders, customers, payments)
+    assert rows(refreshed, *full.columns) == rows(full, *full.columns)
+
+    refresh.refresh_silver(spark, root, since="1", commit_time="2")
+    for name in [*silver.SILVER, "products_silver"]:
+        columns = [c for c in tables[name].columns if c != "_commit_time"]
+        assert rows(build.open_table(spark, root, name, "log"), *columns) == rows(tables[name], *columns), name
+
 
 def test_stream_of_landing_files(spark, tmp_path):
     contract = CONTRACTS["payments_bronze"]
