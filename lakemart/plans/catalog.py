@@ -507,6 +507,17 @@ def refresh_category_sales(spark: SparkSession, folder: str) -> DataFrame:
     return refresh.refresh_category_sales(t.items, t.products, t.orders, dates)
 
 
+@query
+def refresh_customer_ltv(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer mart of the orders before 2001, brought up to date with the orders since."""
+    t = Tables(spark, folder, keep=FACTS)
+    since = F.col("order_purchase_date") >= "2001-01-01"
+    before, new = t.orders.where(~since), t.orders.where(since)
+    mart = gold.customer_values(before, t.customers, t.payments)
+    affected = refresh.affected_customers(new, t.orders)
+    return refresh.refresh_customer_ltv(mart, t.orders, t.customers, t.payments, affected)
+
+
 # ---- sources and sinks over the shared folder ----------------------------------------------------
 
 

@@ -705,7 +705,8 @@ _STATEMENTS = {
         SELECT * FROM g_daily WHERE order_date IN (SELECT order_purchase_date FROM touched_dates)""",
     "refresh_category_sales": """
         SELECT * FROM g_category WHERE order_purchase_date IN (SELECT order_purchase_date FROM touched_dates)""",
-    "csv_round_trip": f"SELECT * EXCLUDE (_ingested_at, _batch_id, _source_file, _source_system) FROM b_items",
+    "refresh_customer_ltv": "SELECT * FROM g_ltv",
+    "csv_round_trip": "SELECT * EXCLUDE (_ingested_at, _batch_id, _source_file, _source_system) FROM b_items",
     "multi_line_csv_round_trip": "SELECT review_id, order_id, review_score, review_comment_message FROM b_reviews",
     "json_feed_round_trip": """
         SELECT product_id, p_type AS product_category_name,
