@@ -30,6 +30,7 @@ from lakemart.session import stored
 SLOTS = 4  # fingerprints a cell of the filter holds
 MAX_KICKS = 64  # moves after which the filter counts as full
 MAX_LOAD = 0.85  # share of used slots from which it is enlarged ahead of time
+PIECE = 256  # rows of a group that are compared with its text in one place
 
 Digest = Callable[[bytes], bytes]
 
@@ -191,13 +192,13 @@ def decisions(docs: DataFrame, digest: Digest = sha256) -> DataFrame:
     rows = stored(digests(docs, digest), "digests")
     found = stored(_decided(rows, groups(rows)), "digest_groups")
     alone = found.where("group_size = 1")
-    pending = found.where("group_size > 1").select("doc_id", "digest", "row")
+    pending = found.where("group_size > 1").select("doc_id", "digest", "row", "group_size")
     done = alone
     while True:
         checked = stored(_compared(docs, pending, digest), "compared_texts")
         equal = checked.where("same_text").select("doc_id", "digest", "row")
         done = done.unionByName(_decided(equal, groups(equal)))
-        pending = checked.where("NOT same_text").select("doc_id", "digest", "row")
+        pending = checked.where("NOT same_text").select("doc_id", "digest", "row", "group_size")
         if pending.isEmpty():
             return done
 
@@ -222,20 +223,24 @@ def _compared(docs: DataFrame, rows: DataFrame, digest: Digest) -> DataFrame:
         return pa.record_batch([batch.column(0).cast(pa.int64()), made, lowered], names=["id", "hash", "text"])
 
     read = map_batches(only(docs, "doc_id", "text"), "id long, hash binary, text string", work)
-    wanted = rows.groupBy("doc_id", "digest").agg(F.max("row").alias("row"), F.count("*").alias("rows"))
+    wanted = rows.groupBy("doc_id", "digest").agg(F.max("row").alias("row"), F.max("group_size").alias("size"))
     texts = read.join(
         wanted.hint("shuffle_hash"), same(F.col("id"), F.col("doc_id")) & (F.col("hash") == F.col("digest"))
-    ).select("doc_id", "digest", "row", "text")
+    ).select("doc_id", "digest", "row", "text", F.ceil(F.col("size") / PIECE).cast("int").alias("pieces"))
+    texts = texts.withColumn("piece", F.pmod(F.xxhash64("row"), F.col("pieces")).cast("int"))
     texts = stored(texts, "texts_of_groups")
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "row", F.xxhash64("text"))
-    stays = texts.groupBy(F.col("digest").alias("of")).agg(F.max_by("text", order).alias("kept_text"))
-    judged = texts.join(stays, F.col("digest") == F.col("of")).select(
+    # The text that stays goes once to every piece of its group, so that no task gets a whole hot group.
+    stays = texts.groupBy(F.col("digest").alias("of")).agg(
+        F.max_by("text", order).alias("kept_text"), F.max("pieces").alias("all")
+    ).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("all") - 1)))
+    judged = texts.join(stays, (F.col("digest") == F.col("of")) & (F.col("piece") == F.col("part"))).select(
         F.col("doc_id").alias("id"), F.col("digest").alias("hash"), (F.col("text") == F.col("kept_text")).alias("same_text")
     )
     # A repeated row counts as often as it is there.
     by_id = judged.groupBy("id", "hash").agg(F.min("same_text").alias("same_text"))
     return rows.join(by_id, same(F.col("doc_id"), F.col("id")) & (F.col("digest") == F.col("hash"))).select(
-        "doc_id", "digest", "row", "same_text"
+        "doc_id", "digest", "row", "group_size", "same_text"
     )
 
 
