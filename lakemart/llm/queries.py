@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import anchor_simhash, exact_dedup, quality_forest
+from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, soft_mixing
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,8 @@ ORACLE["op1_cuckoo_dedup"] = """
 def op9_anchor_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = anchor_simhash.near_groups(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return soft_mixing.mixture(table(spark, folder, "documents"), table(spark, folder, "labels"))
