@@ -6,9 +6,10 @@ again as the next stage's docs. All but the last return the columns of documents
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, quality_forest
+from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, soft_mixing, word_bpe
 from lakemart.llm.common import table
 from lakemart.session import stored
 
@@ -23,7 +24,28 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.dedup(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_copies", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by close fingerprints the one with the smallest doc_id stays."""
+    return anchor_simhash.dedup(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights ask for; toxic and poor ones mostly go."""
+    return soft_mixing.mix(docs, table(spark, sf_dir, "labels"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and the text decoded from them."""
+    return word_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("mixed", mixed),
+    ("encoded", encoded),
+]
 
 # The forest, the tokenizer and the components cannot be written in SQL.
 ORACLE_SQL = None

@@ -21,13 +21,15 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_batches(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
-    """``work`` applied to every Arrow batch of ``df``; empty batches are left out."""
+def map_batches(
+    df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], *, rows: int = 10_000
+) -> DataFrame:
+    """``work`` applied to the Arrow batches of ``df``, cut to at most ``rows`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (made := work(batch)) is not None:
-                yield made
+            for at in range(0, batch.num_rows, rows):
+                yield work(batch.slice(at, rows))
 
     return df.mapInArrow(run, schema)
 

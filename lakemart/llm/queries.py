@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, soft_mixing
+from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, soft_mixing, word_bpe
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +50,8 @@ def op9_anchor_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return soft_mixing.mixture(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op3_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return word_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
