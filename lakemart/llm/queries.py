@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, soft_mixing, word_bpe
+from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, shard_tree, soft_mixing, token_files, word_bpe
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,14 @@ def op4_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return word_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shard_tree.with_slots(shard_tree.assign(table(spark, folder, "documents")))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

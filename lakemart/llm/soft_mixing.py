@@ -29,7 +29,7 @@ from lakemart.llm.common import only
 from lakemart.session import stored
 
 DOMAINS = ("good", "poor", "toxic")
-TARGETS = {"good": 0.90, "poor": 0.05, "toxic": 0.05}  # shares of the tokens
+TARGETS = {"good": 0.96, "poor": 0.01, "toxic": 0.03}  # shares of the tokens
 KEPT_DOMAIN = "good"  # its tokens stay as they are, and documents more likely in it than not are never dropped
 SAMPLE = 10_000  # labelled rows the classifier is fitted on, at most
 BUCKETS = 1 << 16  # hashed words
