@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, shard_tree, soft_mixing, token_files, word_bpe
+from lakemart.llm import (
+    anchor_simhash,
+    exact_dedup,
+    host_trust,
+    quality_forest,
+    shard_tree,
+    soft_mixing,
+    token_files,
+    warc,
+    word_bpe,
+)
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +76,25 @@ def op8_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op5_warc_revisits"] = """
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN revisit THEN original END AS refers_to
+    FROM (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+                 max(page_id) OVER (PARTITION BY h) AS original,
+                 strlen(h) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY h) AS revisit
+          FROM (SELECT page_id, coalesce(html, '') AS h FROM pages) AS payloads) AS records
+"""
+
+
+@query
+def op6_host_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return host_trust.judge(table(spark, folder, "pages"))
