@@ -12,6 +12,7 @@ from lakemart.llm import (
     anchor_simhash,
     exact_dedup,
     host_trust,
+    interpolated_lm,
     quality_forest,
     shard_tree,
     soft_mixing,
@@ -98,3 +99,8 @@ ORACLE["op5_warc_revisits"] = """
 @query
 def op6_host_trust(spark: SparkSession, folder: str) -> DataFrame:
     return host_trust.judge(table(spark, folder, "pages"))
+
+
+@query
+def op10_interpolated_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolated_lm.score(table(spark, folder, "documents"))
