@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ END_ID = 2
 MAGIC = b"RVB1"
 HEADER = struct.Struct("<4sIIQII")  # magic, range number, documents, ranks, control bytes, data bytes
 BLOCK_TOKENS = 1 << 20  # a block is closed when it has so many
-CACHE = 300_000  # pieces a worker remembers; beyond it, it starts anew
+CACHE = 450_000  # pieces of a generation; a worker remembers two, and forgets the older one for a new one
 TEXTS_AT_ONCE = 1024
 
 
@@ -53,22 +54,32 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
-        if "  " in text or text.endswith(" ") or text.startswith(" "):
+        if "  " in text or "\0" in text or text.endswith(" ") or text.startswith(" "):
             return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]]
+        return text.replace(" ", "\0 ").split("\0")
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         found = [self.pieces(text) for text in batch]
-        new = [piece for piece in dict.fromkeys(p for pieces in found for p in pieces) if piece not in self.known]
-        for piece, made in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(made.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in found]
+        made = [list(map(self.known.get, pieces)) for pieces in found]
+        gaps = [[i for i, ids in enumerate(each) if ids is None] if None in each else [] for each in made]
+        new = []
+        for piece in dict.fromkeys(pieces[i] for pieces, missing in zip(found, gaps, strict=True) for i in missing):
+            if (ids := self.older.get(piece)) is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
+        for piece, encoding in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            self.known[piece] = array("I", encoding.ids).tobytes()
+        for pieces, each, missing in zip(found, made, gaps, strict=True):
+            for i in missing:
+                each[i] = self.known[pieces[i]]
+        return [b"".join(each) for each in made]
 
 
 @lru_cache(maxsize=2)
