@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakemart.llm.common import map_batches, only, partitions, texts
-from lakemart.session import new_table_path
+from lakemart.session import new_table_path, stored
 
 END_ID = 2
 MAGIC = b"RVB1"
@@ -258,7 +258,7 @@ def read_files(spark: SparkSession, path: str, ids: np.ndarray) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     schema = "piece long, doc_id long, before long, n_tokens long, ids_crc32 long"
-    read = files.where("length > 0").select("content").mapInArrow(run, schema)
+    read = stored(files.where("length > 0").select("content").mapInArrow(run, schema), "token_positions")
     totals = read.groupBy("piece").agg(F.sum("n_tokens").alias("all"))
     earlier = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     offsets = totals.select("piece", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("offset"))
