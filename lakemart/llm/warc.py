@@ -48,11 +48,16 @@ def payloads(pages: DataFrame) -> DataFrame:
     )
 
 
+def row_key() -> Column:
+    """Page and payload as one key without nulls; only repeated rows share it."""
+    return F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), "sha256")
+
+
 def originals(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """page_id, sha256 (each pair once) and the page_id of the response, for payloads held twice or more."""
+    """Key of page and payload (each pair once) and the page_id of the response, for payloads held twice or more."""
     pairs = headers.where(F.col("bytes") >= least_bytes).groupBy("page_id", "sha256").agg(F.count("*").alias("rows"))
     groups = pairs.groupBy("sha256").agg(F.max("page_id").alias("original"), F.sum("rows").alias("size"))
-    return pairs.select("page_id", "sha256").join(groups.where("size > 1"), "sha256").select("page_id", "sha256", "original")
+    return pairs.select("page_id", "sha256").join(groups.where("size > 1"), "sha256").select(row_key().alias("of_key"), "original")
 
 
 def _record_id(page_id: Column, sha256: Column, number: Column) -> Column:
@@ -69,14 +74,13 @@ def _line(name: str, value: Column) -> Column:
 def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """One record per page, as text without its closing blank lines."""
     read = payloads(pages)
-    found = originals(read.select("page_id", "bytes", "sha256"), least_bytes).select(
-        F.col("page_id").alias("id"), F.col("sha256").alias("hash"), "original"
-    )
-    joined = read.join(found, same(read["page_id"], F.col("id")) & (read["sha256"] == F.col("hash")), "left")
-    again = Window.partitionBy("page_id", "sha256").orderBy("url")
-    numbered = joined.withColumn("number", F.row_number().over(again))
+    found = originals(read.select("page_id", "bytes", "sha256"), least_bytes)
+    # Window and join share one shuffle of the payloads.
+    again = Window.partitionBy("key").orderBy("url")
+    numbered = read.withColumn("key", row_key()).withColumn("number", F.row_number().over(again))
+    numbered = numbered.join(found, F.col("key") == F.col("of_key"), "left")
     first = same(F.col("page_id"), F.col("original")) & (F.col("number") == 1)
-    revisit = F.col("hash").isNotNull() & ~first
+    revisit = F.col("of_key").isNotNull() & ~first
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.col("bytes").cast("string"),
