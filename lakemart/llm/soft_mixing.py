@@ -17,6 +17,7 @@ other; without labels of two domains every rate is one; an empty table gives an
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping
 from typing import NamedTuple
@@ -29,7 +30,7 @@ from lakemart.llm.common import only
 from lakemart.session import stored
 
 DOMAINS = ("good", "poor", "toxic")
-TARGETS = {"good": 0.96, "poor": 0.01, "toxic": 0.03}  # shares of the tokens
+TARGETS = {"good": 0.93, "poor": 0.03, "toxic": 0.04}  # shares of the tokens
 KEPT_DOMAIN = "good"  # its tokens stay as they are, and documents more likely in it than not are never dropped
 SAMPLE = 10_000  # labelled rows the classifier is fitted on, at most
 BUCKETS = 1 << 16  # hashed words
@@ -38,8 +39,9 @@ TELLING = 48  # buckets the classifier keeps for each further domain, at most: t
 CERTAIN = 5.0  # standard errors the log odds of a bucket must be off zero
 PENALTY = 1e-3  # on squared weights
 SMOOTHING = 0.5
-STEPS = 24  # gradient steps at most
-TOLERANCE = 1e-9  # of a domain's tokens, at which the fit ends
+LEAST_SEEN = 8  # a bucket in fewer documents of a domain's sample counts as in none
+STEPS = 12  # gradient steps at most
+TOLERANCE = 1e-5  # of all wanted tokens: a residual, or a change in one step, at which the fit ends
 
 
 class Classifier(NamedTuple):
@@ -118,7 +120,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     if (size > 0).sum() < 2:
         return None
     has = np.zeros((len(DOMAINS), BUCKETS + ENDS))  # as many counts come back, at most
-    for row in sample.select("domain", F.explode("at").alias("b")).groupBy("domain", "b").count().collect():
+    seen = sample.select("domain", F.explode("at").alias("b")).groupBy("domain", "b").count()
+    for row in seen.where(F.col("count") >= LEAST_SEEN).collect():
         has[row["domain"], row["b"]] = row["count"]
     telling = _telling(has, size)
     place = {bucket: n for n, bucket in enumerate(telling)}
@@ -167,19 +170,20 @@ def with_posteriors(docs: DataFrame, text: Column, model: Classifier | None) ->
     return summed.withColumn("_mix_p", _softmax(F.col("_mix_sums"))).drop("_mix_words", "_mix_sums")
 
 
-def _inner(posteriors: Column, step: list[float]) -> Column:
-    out = F.lit(0.0)
-    for k, value in enumerate(step):
-        out = out + F.get(posteriors, F.lit(k)) * F.lit(float(value))
-    return out
+def rate(posteriors: Column, steps: list[list[float]]) -> Column:
+    """The rate after the steps: each goes against the gradient, then back to zero where below.
+
+    The steps are one constant, so the plan is the same size after every step.
+    """
+    taken = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
 
+    def move(value: Column, step: Column) -> Column:
+        inner = F.lit(0.0)
+        for k in range(len(DOMAINS)):
+            inner = inner + F.get(posteriors, F.lit(k)) * F.get(step, F.lit(k))
+        return F.greatest(F.lit(0.0), value - inner)
 
-def rate(posteriors: Column, steps: list[list[float]]) -> Column:
-    """The rate after the steps: each goes against the gradient, then back to zero where below."""
-    value = F.lit(1.0)
-    for step in steps:
-        value = F.greatest(F.lit(0.0), value - _inner(posteriors, step))
-    return value
+    return F.aggregate(taken, F.lit(1.0), move)
 
 
 class Fit(NamedTuple):
