@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import only
+from lakemart.llm.common import only, same
 from lakemart.session import stored
 
 DOMAINS = ("good", "poor", "toxic")
@@ -253,11 +253,12 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, with the columns of ``docs``.
 
-    The posteriors are computed again from the text, which spares a shuffle of the texts.
+    Rows that share a doc_id take the most copies any of them has.
     """
-    _, model, fit = _fitted(docs, labels, targets)
-    read = with_posteriors(docs, docs["text"], model)
-    often = copies(rate(F.col("_mix_p"), fit.steps), F.col("_mix_p"), docs["doc_id"])
-    counted = read.withColumn("_mix_copies", often).where("_mix_copies > 0")
-    again = counted.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+    table, _, fit = _fitted(docs, labels, targets)
+    often = copies(rate(F.col("p"), fit.steps), F.col("p"), F.col("doc_id"))
+    counted = stored(table.select("doc_id", often.alias("_mix_copies")), "mix_copies")
+    wanted = counted.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("_mix_copies").alias("_mix_copies"))
+    joined = docs.join(wanted.where("_mix_copies > 0"), same(docs["doc_id"], F.col("_mix_id")))
+    again = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
     return again.select(*[F.col(f"`{name}`") for name in docs.columns])
