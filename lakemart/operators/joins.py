@@ -1,4 +1,4 @@
-"""Look-ups from a fact table into a table with one row per key, safe against hot keys."""
+"""Look-ups from a fact table into a table with one row per key."""
 
 from __future__ import annotations
 
@@ -20,48 +20,38 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     return counts.where(share > 1).select(key, F.ceil(share).cast("int").alias("_salts"))
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the tables ``df`` is made of are together within the broadcast threshold of the session.
+def lookup_join(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """``fact`` left-joined to ``dimension``, which holds at most one row per ``key``.
 
-    Their sizes are known from the files. Catalyst's estimate for ``df`` itself would multiply the
-    sizes of joined tables, although a look-up adds no rows.
+    A plain join at every size: Catalyst broadcasts a dimension within the session's threshold, and
+    beyond it adaptive execution splits the parts of ``fact`` that a hot key, or NULL, makes large.
     """
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return sum(sizes) <= threshold
+    return fact.join(dimension, key, "left")
 
 
-def lookup_join(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """``fact`` left-joined to ``dimension``, which holds at most one row per ``key``.
+def salted_lookup_join(fact: DataFrame, dimension: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    """The rows of ``lookup_join``, with the keys of ``heavy`` split by salts before the shuffle.
 
-    A dimension made of tables within the broadcast threshold is broadcast. Beyond it the rows of
-    each heavy key are split by salts, and only the dimension rows of those keys are repeated, once
-    per salt, so that no task receives a whole hot key. Rows with a NULL key match nothing; they are
-    salted too, or they would all meet in one task.
+    For facts whose hot keys are known to pass what adaptive execution splits. ``heavy`` comes from
+    ``heavy_keys``, counted once on the stored key column, and is bounded as stated there. Facts equal
+    in all columns but the key meet in one task.
     """
-    if is_small(dimension):
-        return fact.join(F.broadcast(dimension), key, "left")
-
-    heavy = F.broadcast(heavy_keys(fact, key))
+    few = F.broadcast(heavy)
     salts = F.when(F.col(key).isNull(), F.lit(PARTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     # The salt follows from the row (fact rows differ by their record key), so a task that runs again
     # splits its rows the same way.
-    row = F.xxhash64(*[name for name in fact.columns if name != key])
-    salted_fact = (
-        fact.join(heavy, key, "left").withColumn("_salt", F.pmod(row, salts).cast("int")).drop("_salts")
-    )
+    row = F.xxhash64(*([name for name in fact.columns if name != key] or [key]))
+    salted_fact = fact.join(few, key, "left").withColumn("_salt", F.pmod(row, salts).cast("int")).drop("_salts")
     repeated = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    salted_dimension = dimension.join(heavy, key, "left").withColumn("_salt", repeated).drop("_salts")
+    salted_dimension = dimension.join(few, key, "left").withColumn("_salt", repeated).drop("_salts")
     return salted_fact.join(salted_dimension, [key, "_salt"], "left").drop("_salt")
 
 
 def known_rows(fact: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``fact`` whose key is in ``keys``, which holds every key once: a semi-join safe against hot keys."""
-    return lookup_join(fact, keys.select(key, F.lit(True).alias("_known")), key).where("_known").drop("_known")
+    """Rows of ``fact`` whose key is in ``keys``."""
+    return fact.join(keys.select(key), key, "left_semi")
 
 
 def unknown_rows(fact: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``fact`` whose key is not in ``keys``, which holds every key once; NULL is in no table."""
-    marked = lookup_join(fact, keys.select(key, F.lit(True).alias("_known")), key)
-    return marked.where(F.col("_known").isNull()).drop("_known")
+    """Rows of ``fact`` whose key is not in ``keys``; NULL is in no table."""
+    return fact.join(keys.select(key), key, "left_anti")

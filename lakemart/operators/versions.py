@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.dedupe import latest_per_key
-from lakemart.operators.joins import is_small
 
 COMMIT = "_commit_time"
 DELETED = "_deleted"
@@ -47,23 +46,20 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, ordering: str) ->
     """``current`` with ``incoming`` merged by key: new keys inserted, newer versions replace older ones.
 
     On equal ordering values the incoming row wins. ``current`` holds every key once, over the whole
-    table; it is not shuffled while ``incoming`` is within the broadcast threshold.
+    table; Catalyst does not shuffle it while ``incoming`` is within the broadcast threshold.
     """
     rows = reconcile_schema(incoming, current.schema)
     table = reconcile_schema(current, rows.schema)
-    if is_small(rows):
-        return _lay_over(table, newest_in_batch(rows, key, ordering), key, ordering)
-    both = table.withColumn("_incoming", F.lit(0)).unionByName(rows.withColumn("_incoming", F.lit(1)))
-    return latest_per_key(both, key, [ordering, "_incoming"]).drop("_incoming")
+    return _lay_over(table, newest_in_batch(rows, key, ordering), key, ordering)
 
 
 def _lay_over(base: DataFrame, newest: DataFrame, key: str, ordering: str) -> DataFrame:
     """``base`` with the rows of ``newest`` in place of its own where they are not older, and the new keys.
 
-    Both hold every key once and have the same columns. ``newest`` is small and broadcast, so ``base``
-    is scanned where it is: once for its rows and once for the keys that are known.
+    Both hold every key once and have the same columns. ``base`` is read once for its rows and once
+    for the keys that are known; how the joins run is left to Catalyst.
     """
-    change = F.broadcast(newest.select(F.col(key).alias("_key"), F.struct(*newest.columns).alias("_new")))
+    change = newest.select(F.col(key).alias("_key"), F.struct(*newest.columns).alias("_new"))
     same_key = F.col(key).eqNullSafe(F.col("_key"))
     # Orderings compare with NULL last; on equal ones the row of the change wins.
     newer = F.coalesce(F.col(f"_new.{ordering}") >= F.col(ordering), F.col(ordering).isNull())
@@ -72,7 +68,7 @@ def _lay_over(base: DataFrame, newest: DataFrame, key: str, ordering: str) -> Da
 
     # No more rows than the change has.
     known = base.select(key).join(change.select("_key"), same_key, "left_semi").withColumnRenamed(key, "_key")
-    return current.unionByName(newest.join(F.broadcast(known), same_key, "left_anti"))
+    return current.unionByName(newest.join(known, same_key, "left_anti"))
 
 
 def as_of(log: DataFrame, key: str, ordering: str, commit_time: str | None = None) -> DataFrame:
@@ -87,12 +83,9 @@ def as_of(log: DataFrame, key: str, ordering: str, commit_time: str | None = Non
 def overlay(base: DataFrame, later: DataFrame, key: str, ordering: str) -> DataFrame:
     """The state after the commits of ``later``, on top of ``base``, which holds every key once.
 
-    While the later commits are within the broadcast threshold ``base`` is only scanned; beyond it the
-    newest version of a key is picked from all rows. The result is that of ``as_of`` over both.
+    The result is that of ``as_of`` over both.
     """
-    if is_small(later):
-        return _lay_over(base, as_of(later, key, ordering), key, ordering)
-    return as_of(base.unionByName(later), key, ordering)
+    return _lay_over(base, as_of(later, key, ordering), key, ordering)
 
 
 def snapshot(log: DataFrame, key: str, ordering: str, *, deleted: str = DELETED) -> DataFrame:

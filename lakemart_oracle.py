@@ -45,6 +45,20 @@ def _whole(column: str, digits: int) -> str:
     return f"CAST({column} * {10 ** digits} AS HUGEINT)"
 
 
+def _daily(orders: str, items: str = "items_per_order") -> str:
+    return f"""
+        SELECT order_purchase_date AS order_date, count(DISTINCT order_id) AS order_count,
+               CAST(sum(coalesce(items, 0)) AS BIGINT) AS item_count,
+               CAST(sum(coalesce(value, 0)) AS DECIMAL(32,2)) AS gross_item_value,
+               CAST(sum(coalesce(freight, 0)) AS DECIMAL(32,2)) AS gross_freight_value,
+               CAST(sum(coalesce(paid, 0)) AS DECIMAL(32,2)) AS payment_value,
+               {_scaled(_half_up(_whole('sum(coalesce(paid, 0))', 2) + ' * 10000', 'count(*)'), 6, 26)}
+                   AS avg_order_payment_value,
+               strftime(order_purchase_date, '%Y-%m-%d') AS gold_key
+        FROM {orders} LEFT JOIN {items} USING (order_id) LEFT JOIN paid_per_order USING (order_id)
+        GROUP BY order_purchase_date"""
+
+
 def _fingerprint(*columns: str) -> str:
     parts = " || ".join(f"coalesce(CAST(length({c}) AS VARCHAR) || ':' || {c}, '-')" for c in columns)
     return f"md5({parts})"
@@ -194,17 +208,18 @@ _CTE = {
     "paid_per_order": """
         SELECT order_id, sum(payment_value) AS paid, count(*) AS parts, max(payment_installments) AS installments
         FROM s_payments GROUP BY order_id""",
-    "g_daily": f"""
-        SELECT order_purchase_date AS order_date, count(DISTINCT order_id) AS order_count,
-               CAST(sum(coalesce(items, 0)) AS BIGINT) AS item_count,
-               CAST(sum(coalesce(value, 0)) AS DECIMAL(32,2)) AS gross_item_value,
-               CAST(sum(coalesce(freight, 0)) AS DECIMAL(32,2)) AS gross_freight_value,
-               CAST(sum(coalesce(paid, 0)) AS DECIMAL(32,2)) AS payment_value,
-               {_scaled(_half_up(_whole('sum(coalesce(paid, 0))', 2) + ' * 10000', 'count(*)'), 6, 26)}
-                   AS avg_order_payment_value,
-               strftime(order_purchase_date, '%Y-%m-%d') AS gold_key
-        FROM s_orders LEFT JOIN items_per_order USING (order_id) LEFT JOIN paid_per_order USING (order_id)
-        GROUP BY order_purchase_date""",
+    "g_daily": _daily("s_orders"),
+    # Dates rounded to the year, as in the two loads of the append queries.
+    "orders_by_year": """
+        SELECT * REPLACE (CAST(date_trunc('year', order_purchase_date) AS DATE) AS order_purchase_date) FROM s_orders""",
+    "raw_items_by_year": """
+        SELECT * REPLACE (date_trunc('year', shipping_limit_date) AS shipping_limit_date) FROM b_items""",
+    "newest_items_by_year": _newest(
+        "raw_items_by_year", "order_item_key", "shipping_limit_date", "product_id", "seller_id", "price", "freight_value"
+    ),
+    "items_by_year": """
+        SELECT order_id, count(*) AS items, sum(price) AS value, sum(freight_value) AS freight
+        FROM newest_items_by_year GROUP BY order_id""",
     "categories": """
         SELECT product_id,
                coalesce(product_category_name_english, product_category_name, 'unknown') AS category_name
@@ -526,6 +541,25 @@ _STATEMENTS = {
     "silver_geolocation": "SELECT * FROM s_geolocation",
     "silver_category_translation": "SELECT * FROM s_translation",
     "gold_daily_sales": "SELECT * FROM g_daily",
+    "append_build_parquet": _daily("orders_by_year", "items_by_year"),
+    "append_build_log": _daily("orders_by_year", "items_by_year"),
+    "refresh_after_delete": """
+        SELECT strftime(order_purchase_date, '%Y-%m-%d') AS gold_key, count(*) AS order_count,
+               CAST(sum(coalesce(items, 0)) AS BIGINT) AS item_count,
+               CAST(sum(coalesce(value, 0)) AS DECIMAL(32,2)) AS gross_item_value,
+               CAST(sum(CASE WHEN CAST(order_id AS BIGINT) % 5 = 0 THEN 0 ELSE coalesce(paid, 0) END)
+                    AS DECIMAL(32,2)) AS payment_value
+        FROM s_orders LEFT JOIN items_per_order USING (order_id) LEFT JOIN paid_per_order USING (order_id)
+        WHERE CAST(order_id AS BIGINT) % 7 <> 0 GROUP BY order_purchase_date
+        UNION ALL
+        SELECT concat_ws('_', strftime(order_purchase_date, '%Y-%m-%d'), category), count(DISTINCT order_id),
+               count(DISTINCT order_item_key), CAST(sum(price) AS DECIMAL(32,2)), CAST(NULL AS DECIMAL(32,2))
+        FROM (SELECT s_items.*, CASE WHEN CAST(product_id AS BIGINT) % 3 = 0 THEN 'unknown'
+                                     ELSE coalesce(category_name, 'unknown') END AS category
+              FROM s_items LEFT JOIN categories USING (product_id))
+             LEFT JOIN (SELECT order_id, order_purchase_date FROM s_orders
+                        WHERE CAST(order_id AS BIGINT) % 7 <> 0) USING (order_id)
+        GROUP BY order_purchase_date, category""",
     "gold_category_sales": "SELECT * FROM g_category",
     "gold_customer_ltv": "SELECT * FROM g_ltv",
     "report_daily_trend": """

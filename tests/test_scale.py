@@ -60,19 +60,44 @@ def test_hot_key_is_split_evenly(skewed, no_broadcast, dimension):
     assert parts.agg(F.max("count")).first()[0] <= 16
 
 
-def test_small_dimension_is_broadcast(skewed, dimension):
-    found = joins.lookup_join(skewed, dimension, "k")
-    assert joins.is_small(dimension) and "BroadcastHashJoin" in plan(found) and "_salt" not in plan(found)
+def exchanges(df):
+    return plan(df).count("Exchange")
 
 
-def test_large_dimension_is_salted_and_right(spark, skewed, dimension, no_broadcast):
-    found = joins.lookup_join(skewed, dimension, "k")
+def test_small_dimension_is_broadcast(spark, skewed):
+    small = spark.createDataFrame([(7, "n7")], "k long, name string")
+    assert "BroadcastHashJoin" in plan(joins.lookup_join(skewed, small, "k"))
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_look_up_is_the_plain_join_at_every_size(spark, skewed, dimension, threshold):
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, threshold)
+    try:
+        found, expected = joins.lookup_join(skewed, dimension, "k"), skewed.join(dimension, "k", "left")
+        assert found.columns == expected.columns and exchanges(found) == exchanges(expected)
+        assert rows(found, "k", "v", "name") == rows(expected, "k", "v", "name")
+        keys_only = skewed.select("k")
+        assert rows(joins.lookup_join(keys_only, dimension, "k"), "k", "name") == rows(expected, "k", "name")
+        twice = dimension.unionByName(dimension)
+        assert rows(joins.known_rows(skewed, twice, "k"), "k", "v") == rows(
+            joins.known_rows(skewed, dimension, "k"), "k", "v"
+        )
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_salted_look_up_is_right(spark, skewed, dimension, no_broadcast):
+    heavy = joins.heavy_keys(skewed, "k")
+    found = joins.salted_lookup_join(skewed, dimension, "k", heavy)
     assert re.search(r"hashpartitioning\(k#\w+, _salt", plan(found))
     expected = skewed.join(dimension, "k", "left")
     assert found.columns == expected.columns
     assert rows(found, "k", "v", "name") == rows(expected, "k", "v", "name")
-    spread = joins.lookup_join(skewed, dimension, "k").where("k = 7")
+    spread = found.where("k = 7")
     assert spread.count() == skewed.where("k = 7").count() >= 10_000
+    keys_only = joins.salted_lookup_join(skewed.select("k"), dimension, "k", heavy)
+    assert rows(keys_only, "k", "name") == rows(expected, "k", "name")
 
 
 def test_semi_and_anti_joins_of_a_hot_key(skewed, dimension, no_broadcast):
@@ -82,10 +107,6 @@ def test_semi_and_anti_joins_of_a_hot_key(skewed, dimension, no_broadcast):
     assert rows(unknown, "k", "v") == rows(skewed.join(dimension, "k", "left_anti"), "k", "v")
 
 
-def test_size_check_counts_every_table(spark, dimension, no_broadcast):
-    assert not joins.is_small(dimension)
-
-
 def test_dedupe_keeps_one_row_per_key_and_task_before_the_shuffle(skewed):
     newest = latest_per_key(skewed, "k", "v")
     text = plan(newest)
@@ -202,7 +223,7 @@ def test_category_sales_equal_with_and_without_broadcast(spark, stored_silver):
     spark.conf.set(name, "-1")
     try:
         large = gold.category_sales(hot, products, orders)
-        assert "_salt" in plan(large)
+        assert "BroadcastHashJoin" not in plan(large)
         assert rows(large, *small.columns) == expected
     finally:
         spark.conf.set(name, before)

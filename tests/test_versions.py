@@ -4,10 +4,10 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakemart.contracts import CONTRACTS, TableContract
 from lakemart.operators import versions
-from lakemart.operators.joins import is_small
 from lakemart.sources import change_log
 from tests.compare import rows
 
@@ -173,12 +173,12 @@ def test_upsert_rules(spark, threshold):
     name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set(name, threshold)
     try:
-        check_upsert_rules(spark)
+        check_upsert_rules(spark, broadcast=threshold != "-1")
     finally:
         spark.conf.set(name, before)
 
 
-def check_upsert_rules(spark):
+def check_upsert_rules(spark, broadcast):
     current = frame(spark, [("a", 5, "old"), ("b", 5, "old"), ("c", 5, "old"), ("e", None, "old")])
     incoming = frame(
         spark,
@@ -186,7 +186,7 @@ def check_upsert_rules(spark):
     )
     expected = [("a", 6, "newer"), ("b", 5, "same"), ("c", 5, "old"), ("d", 2, "second"), ("e", 0, "any")]
     merged = versions.upsert(current, incoming, "k", "o")
-    assert ("Broadcast" in merged._jdf.queryExecution().executedPlan().toString()) == is_small(incoming)
+    assert ("Broadcast" in merged._jdf.queryExecution().executedPlan().toString()) == broadcast
     assert rows(merged, "k", "o", "v") == expected
     again = versions.upsert(merged, incoming, "k", "o")
     assert rows(again, "k", "o", "v") == expected
@@ -212,3 +212,54 @@ def test_too_few_commits(spark):
         versions.previous_instant(log)
     with pytest.raises(ValueError):
         versions.select_instant(log.limit(0))
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_treats_repeated_keys_alike_at_every_size(spark, threshold):
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, threshold)
+    try:
+        columns = "k string, o int, v string"
+        current = spark.createDataFrame([("a", 5, "x"), ("a", 7, "y"), ("b", 1, "x"), (None, 1, "x")], columns)
+        incoming = spark.createDataFrame([("a", 6, "new"), (None, 2, "new")], columns)
+        merged = versions.upsert(current, incoming, "k", "o")
+        assert rows(merged, "k", "o", "v") == [("a", 6, "new"), ("a", 7, "y"), ("b", 1, "x"), (None, 2, "new")]
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_commits_come_from_the_folder_names(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert change_log.commits(spark, path) == []
+    contract = CONTRACTS["payments_silver"]
+    row = spark.sql("select 'a' payment_key, 1 payment_value, timestamp'2024-01-01' _ingested_at")
+    change_log.overwrite_log(row, path, contract, "2")
+    change_log.append_commit(row.withColumn("payment_value", F.lit(2)), path, contract, "3")
+    assert change_log.commits(spark, path) == ["2", "3"]
+    change_log.append_commit(row.limit(0), path, contract, "3")  # run again without rows: its old rows go
+    assert rows(change_log.read_state(spark, path, contract), "payment_value") == [(1,)]
+    change_log.overwrite_log(row.limit(0), path, contract, "4")
+    assert change_log.commits(spark, path) == ["4"]
+    assert change_log.read_state(spark, path, contract).columns == [*row.columns, "_commit_time"]
+    assert change_log.read_state(spark, path, contract).isEmpty()
+
+
+def test_changes_of_a_derived_table(spark, tmp_path):
+    """Only what differs is committed, vanished keys as deletions; a mart may go back in its ordering."""
+    path, contract = str(tmp_path / "log"), CONTRACTS["customer_ltv_gold"]
+
+    def state(data):
+        return spark.createDataFrame(data, "customer_id string, last_order_date int, order_count int")
+
+    def stored():
+        return rows(change_log.read_state(spark, path, contract), "customer_id", "last_order_date", "order_count")
+
+    change_log.append_changes(state([("a", 5, 1), ("b", 5, 1), (None, 1, 1)]), path, contract, "1")
+    for _ in range(2):  # the second time is the same commit again
+        change_log.append_changes(state([("a", 3, 1), (None, 1, 1), ("c", 1, 1)]), path, contract, "2")
+        log = change_log.read_log(spark, path).where("_commit_time = '2'")
+        assert sorted((r["customer_id"], r["_deleted"]) for r in log.collect()) == [("a", False), ("b", True), ("c", False)]
+        assert stored() == [("a", 3, 1), ("c", 1, 1), (None, 1, 1)]
+    change_log.append_changes(state([("b", 9, 9)]), path, contract, "3")
+    assert stored() == [("b", 9, 9)]
+    assert change_log.read_state(spark, path, contract, as_of="1").count() == 3
