@@ -65,7 +65,7 @@ def exchanges(df):
 
 
 def test_small_dimension_is_broadcast(spark, skewed):
-    small = spark.createDataFrame([(7, "n7")], "k long, name string")
+    small = spark.sql("select id k, 'n' name from range(9)")
     assert "BroadcastHashJoin" in plan(joins.lookup_join(skewed, small, "k"))
 
 
