@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Generic, TypeVar
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Value = TypeVar("Value")
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,3 +58,89 @@ def only(df: DataFrame, *names: str) -> DataFrame:
 def same(left: Column, right: Column) -> Column:
     """Equality that also matches null with null."""
     return left.eqNullSafe(right)
+
+
+def by_size(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` cut so that the texts of a part have at most ``size`` bytes, or it is a single row."""
+    ends = np.cumsum(np.array([len(text) for text in text_bytes(batch.column(column))], dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _kinds() -> np.ndarray:
+    """For each byte: 1 if a space, 2 if other printable ASCII, 4 more if a letter, 8 more if it often ends a word."""
+    kinds = np.zeros(256, dtype=np.uint8)
+    kinds[ord(" ")] = 1
+    kinds[ord("!") : 127] = 2
+    kinds[[ord(letter) for letter in UPPER + LOWER]] |= 4
+    kinds[[ord(mark) for mark in ".,;:!?"]] |= 8
+    return kinds
+
+
+def cut(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The texts as pieces: the distinct pieces, the number of each piece in turn, and the pieces of each text.
+
+    Texts are cut between an ASCII letter and one of ``.,;:!?``, and before a space that follows or precedes a
+    printable ASCII character, but not before the last character of a text if it is a space. So no run of
+    letters is cut, and no run of white space but at its start or before its last space. Null counts as empty,
+    and an empty text has no piece.
+    """
+    found = text_bytes(column)
+    sizes = np.array([len(text) for text in found], dtype=np.int64)
+    content = b"".join(found)
+    flat = _kinds()[np.frombuffer(content, dtype=np.uint8)]
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    starts = np.zeros(len(flat) + 1, dtype=bool)
+    starts[1:-2] = (flat[1:-1] == 1) & ((flat[:-2] | flat[2:]) & 2 > 0)
+    starts[first[1:] - 1] = False
+    starts[1:-1] |= (flat[1:] & 8 > 0) & (flat[:-1] & 4 > 0)
+    starts[first] = True
+    starts[len(flat)] = True
+    bounds = np.flatnonzero(starts)
+    per_text = np.searchsorted(bounds, np.cumsum(sizes)) - np.searchsorted(bounds, np.cumsum(sizes) - sizes)
+    offsets = pa.py_buffer(bounds.astype(np.int64))
+    pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, offsets, pa.py_buffer(content)).dictionary_encode()
+    return pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy(), per_text
+
+
+def ragged(flat: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` (of ``sizes``, one after the other) that ``chosen`` names, joined."""
+    starts, wide = (np.cumsum(sizes) - sizes)[chosen], sizes[chosen]
+    ends = np.cumsum(wide)
+    return flat[np.repeat(starts - ends + wide, wide) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Remembered(Generic[Value]):
+    """What a worker knows of pieces of text: two generations, the older one forgotten for a new one.
+
+    Pieces longer than ``LONGEST`` are worked out each time.
+    """
+
+    LONGEST = 200
+
+    def __init__(self, size: int, work: Callable[[list[str]], Iterable[Value]]) -> None:
+        self.size, self.work = size, work
+        self.known: dict[str, Value] = {}
+        self.older: dict[str, Value] = {}
+
+    def __call__(self, pieces: list[str]) -> list[Value]:
+        """The value of each of the distinct pieces."""
+        if len(self.known) > self.size:
+            self.older, self.known = self.known, {}
+        made = list(map(self.known.get, pieces))
+        new = []
+        for i, value in enumerate(made):
+            if value is None:
+                if (made_before := self.older.get(pieces[i])) is None:
+                    new.append(i)
+                else:
+                    made[i] = self.known[pieces[i]] = made_before
+        for i, value in zip(new, self.work([pieces[i] for i in new]), strict=True):
+            made[i] = value
+            if len(pieces[i]) <= self.LONGEST:
+                self.known[pieces[i]] = value
+        return made

@@ -15,10 +15,11 @@ written as often as they are there; an empty table makes no block and an empty r
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,9 +28,9 @@ import pyarrow as pa
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from lakemart.llm.common import map_batches, only, partitions, texts
+from lakemart.llm.common import Remembered, by_size, cut, map_batches, only, partitions, ragged
 from lakemart.session import new_table_path, stored
 
 END_ID = 2
@@ -37,15 +38,19 @@ MAGIC = b"RVB1"
 HEADER = struct.Struct("<4sIIQII")  # magic, range number, documents, ranks, control bytes, data bytes
 BLOCK_TOKENS = 1 << 20  # a block is closed when it has so many
 CACHE = 450_000  # pieces of a generation; a worker remembers two, and forgets the older one for a new one
+PIECES_AT_ONCE = 10_000  # the tokenizer is given
+BYTES_AT_ONCE = 4 << 20  # of text encoded together
 TEXTS_AT_ONCE = 1024
 
+LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # all of these are letters
+
 
 class PieceEncoder:
     """The tokenizer, asked once per distinct piece of text.
 
-    A text may be cut before a space that stands between two other characters: the tokenizer's pattern
-    never joins a word with the white space after it. Texts with a double space or one at the end are
-    given to the tokenizer whole.
+    A text may be cut where ``cut`` does: the tokenizer's pattern cuts there too. Pieces it would leave whole,
+    a space at most and letters, are given to the same model without the pattern. The tokens of a piece have its bytes, so the ids of many pieces,
+    made together, are told apart by the lengths of the tokens.
     """
 
     def __init__(self, file: str) -> None:
@@ -53,33 +58,57 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if "  " in text or "\0" in text or text.endswith(" ") or text.startswith(" "):
-            return [text]
-        return text.replace(" ", "\0 ").split("\0")
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each."""
-        if len(self.known) > CACHE:
-            self.older, self.known = self.known, {}
-        found = [self.pieces(text) for text in batch]
-        made = [list(map(self.known.get, pieces)) for pieces in found]
-        gaps = [[i for i, ids in enumerate(each) if ids is None] if None in each else [] for each in made]
-        new = []
-        for piece in dict.fromkeys(pieces[i] for pieces, missing in zip(found, gaps, strict=True) for i in missing):
-            if (ids := self.older.get(piece)) is None:
-                new.append(piece)
-            else:
-                self.known[piece] = ids
-        for piece, encoding in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[piece] = array("I", encoding.ids).tobytes()
-        for pieces, each, missing in zip(found, made, gaps, strict=True):
-            for i in missing:
-                each[i] = self.known[pieces[i]]
-        return [b"".join(each) for each in made]
+        rule = json.loads(self.tokenizer.to_str())
+        if rule["normalizer"] or rule["pre_tokenizer"]["type"] != "ByteLevel" or rule["pre_tokenizer"]["add_prefix_space"]:
+            raise ValueError("a tokenizer that keeps all bytes as they are is wanted")
+        self.whole = Tokenizer(self.tokenizer.model)
+        self.whole.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        added = self.tokenizer.get_added_tokens_decoder()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(1 + max([*vocab.values(), *added]), dtype=np.int64)
+        for token, number in vocab.items():
+            self.width[number] = len(token)  # one character a byte
+        for number, token in added.items():
+            self.width[number] = len(token.content.encode())
+        self.ids_of = Remembered(CACHE, self.tokenized)
+
+    def tokenized(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, four bytes each."""
+        made = [b""] * len(pieces)
+        simple = [LETTERS.fullmatch(piece) is not None for piece in pieces]
+        for tokenizer, kind in ((self.whole, True), (self.tokenizer, False)):
+            places = [i for i, is_simple in enumerate(simple) if is_simple == kind]
+            for at in range(0, len(places), PIECES_AT_ONCE):
+                some = places[at : at + PIECES_AT_ONCE]
+                for i, ids in zip(some, self._together(tokenizer, [pieces[i] for i in some]), strict=True):
+                    made[i] = ids
+        return made
+
+    def _together(self, tokenizer: Tokenizer, pieces: list[str]) -> Iterator[bytes]:
+        found = tokenizer.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype="<u4")
+        reached = np.cumsum(self.width[ids])
+        ends = np.cumsum([len(piece.encode()) for piece in pieces])
+        bounds = np.searchsorted(reached, ends) + 1
+        if (reached[bounds - 1] != ends).any():
+            raise ValueError("the tokens of a piece differ from its bytes")
+        raw = ids.tobytes()
+        bounds = [0, *(4 * bounds).tolist()]
+        return map(raw.__getitem__, map(slice, bounds[:-1], bounds[1:]))
+
+    def encode(self, column: pa.Array, end_id: int) -> pa.Array:
+        """The ids of each text and the end id, four bytes each."""
+        distinct, pieces, per_text = cut(column)
+        made = self.ids_of(distinct)
+        sizes = np.array([len(ids) // 4 for ids in made], dtype=np.int64)
+        ids = ragged(np.frombuffer(b"".join(made), dtype="<u4"), sizes, pieces)
+        before = np.r_[0, np.cumsum(sizes[pieces])]  # ids ahead of each piece
+        ends = before[np.cumsum(per_text)]
+        whole = np.insert(ids, ends, end_id).astype("<u4", copy=False)
+        bounds = 4 * np.r_[0, ends + np.arange(1, len(ends) + 1)]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ends), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(whole)]
+        )
 
 
 @lru_cache(maxsize=2)
@@ -91,13 +120,14 @@ def tokens(docs: DataFrame, file: str, end_id: int = END_ID) -> DataFrame:
     """doc_id and ids (four bytes each, the end id last) of every whole text."""
     docs.sparkSession.sparkContext.addFile(file)
     name = file.rsplit("/", 1)[-1]
-    end = struct.pack("<I", end_id)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [made + end for made in _encoder(name).encode(texts(batch.column(1)))]
-        return pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_size(batch, 1, BYTES_AT_ONCE):
+                ids = _encoder(name).encode(part.column(1), end_id).cast(pa.binary())
+                yield pa.record_batch([part.column(0).cast(pa.int64()), ids], names=["doc_id", "ids"])
 
-    return map_batches(only(docs, "doc_id", "text"), "doc_id long, ids binary", work, rows=TEXTS_AT_ONCE)
+    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def frequencies(encoded: DataFrame) -> DataFrame:
