@@ -43,11 +43,6 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
-def texts(column: pa.Array) -> list[str]:
-    """Each text; null counts as empty."""
-    return column.fill_null("").to_pylist()
-
-
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, also where other columns differ from them in case only."""
     places = [df.columns.index(name) for name in names]

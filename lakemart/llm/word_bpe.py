@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a word-end vocabulary, by batched numpy merge rounds.
 
-Texts are cut at white space; the pieces of a batch that have not been met before are normalised, cut
+Texts are cut into pieces at spaces and marks; those of a batch that have not been met before are normalised, cut
 into words and merged together. The symbols of all these words lie in one flat array. Every round looks
 all neighbouring pairs up by binary search over the sorted pair keys, finds the lowest rank of each word
 and merges its pairs of that rank, from left to right. Words without a mergeable pair leave the array.
@@ -16,6 +16,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,12 +28,12 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from lakemart.llm.common import map_batches, only, texts
+from lakemart.llm.common import Remembered, by_size, cut, only, ragged
 
 # Fixed values of the tokenizer: white space, and its word pattern.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 WORD_END = "</w>"
-CACHE = 300_000  # pieces a worker remembers; beyond it, it starts anew
+CACHE = 150_000  # pieces of a generation; a worker remembers two
 
 
 def byte_characters() -> list[str]:
@@ -51,6 +52,7 @@ class WordBpe:
         vocab = model["model"]["vocab"]
         self.special = {token["content"]: token["id"] for token in model["added_tokens"]}
         self.token = np.array([""] * (1 + max([*vocab.values(), *self.special.values()])), dtype=object)
+        self.decimal = np.array([str(number) for number in range(len(self.token))], dtype=object)
         for text, number in [*vocab.items(), *self.special.items()]:
             self.token[number] = text
         characters = byte_characters()
@@ -64,10 +66,10 @@ class WordBpe:
         self.made = np.array([vocab[a + b] for a, b in merges], dtype=np.int64)
         self.pattern = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, tuple[int, str, str, bytes]] = {}
+        self.known = Remembered(CACHE, self.learned)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word, all merged together."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, four bytes each, all merged together."""
         if not words:
             return []
         sizes = np.array([len(word) for word in words])
@@ -102,55 +104,56 @@ class WordBpe:
             stays = ~np.r_[False, here[:-1]]
             word, symbol = word[stays], symbol[stays]
         word, symbol = np.concatenate(done_word), np.concatenate(done_symbol)
+        known = symbol >= 0
+        word, symbol = word[known], symbol[known]
         order = np.argsort(word, kind="stable")
-        symbol = symbol[order]
-        ends = np.searchsorted(word[order], np.arange(1, len(words)))
-        return [ids[ids >= 0] for ids in np.split(symbol, ends)]
-
-    def pieces(self, text: str) -> list[str]:
-        return text.split(" ")
-
-    def _parts(self, piece: str) -> list[bytes | int]:
-        """The words of a piece in UTF-8, and the ids of special tokens in it."""
-        out: list[bytes | int] = []
+        ids = symbol[order].astype("<i4").tobytes()
+        bounds = (4 * np.searchsorted(word[order], np.arange(len(words) + 1))).tolist()
+        return [ids[at:end] for at, end in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _parts(self, piece: str) -> list[bytes | str]:
+        """The words of a piece in UTF-8, and the special tokens in it."""
+        bare = piece.lstrip(" ")
+        if bare.isascii() and bare.isalpha():
+            return [bare.lower().encode()]
+        out: list[bytes | str] = []
         for part in self.specials.split(piece) if self.specials else [piece]:
             if part in self.special:
-                out.append(self.special[part])
+                out.append(part)
             elif part:
                 # Lower case by character: no rule looks at the neighbours.
                 lowered = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out.extend(word.encode() for word in self.pattern.findall(lowered))
+                out.extend([word.encode() for word in self.pattern.findall(lowered)])
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The tokens of the ids, joined by a space."""
-        return " ".join(self.token[ids])
-
-    def learn(self, found: list[list[str]]) -> None:
-        """Encode the pieces that are new to this worker: number of ids, ids as text, decoded text."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [piece for piece in dict.fromkeys(p for pieces in found for p in pieces) if piece not in self.known]
-        parts = [self._parts(piece) for piece in new]
+    def learned(self, pieces: list[str]) -> Iterator[bytes]:
+        """The ids of the pieces, four bytes each, all merged together."""
+        parts = [self._parts(piece) for piece in pieces]
         words = list(dict.fromkeys(part for each in parts for part in each if isinstance(part, bytes)))
-        ids_of = dict(zip(words, self.merge(words), strict=True))
-        for piece, each in zip(new, parts, strict=True):
-            ids = np.concatenate([np.empty(0, np.int64), *[ids_of[x] if isinstance(x, bytes) else [x] for x in each]])
-            ids = ids.astype(np.int64)
-            self.known[piece] = (len(ids), " ".join(map(str, ids.tolist())), self.decode(ids), ids.astype("<i4").tobytes())
-
-    def encode(self, batch: list[str]) -> Iterator[tuple[int, str, str, bytes]]:
-        """Of each text: number of ids, the decimal ids and the decoded tokens, both joined by a space, the ids."""
-        found = [self.pieces(text) for text in batch]
-        self.learn(found)
-        for pieces in found:
-            known = [self.known[piece] for piece in pieces]
-            yield (
-                sum(piece[0] for piece in known),
-                " ".join([piece[1] for piece in known if piece[0]]),
-                " ".join([piece[2] for piece in known if piece[0]]),
-                b"".join([piece[3] for piece in known]),
-            )
+        ids_of: dict[bytes | str, bytes] = dict(zip(words, self.merge(words), strict=True))
+        ids_of.update((text, struct.pack("<i", number)) for text, number in self.special.items())
+        for each in parts:
+            yield ids_of[each[0]] if len(each) == 1 else b"".join([ids_of[part] for part in each])
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many there are before each text and in all."""
+        distinct, pieces, per_text = cut(column)
+        made = self.known(distinct)
+        sizes = np.array([len(ids) // 4 for ids in made], dtype=np.int64)
+        ids = ragged(np.frombuffer(b"".join(made), dtype="<i4"), sizes, pieces)
+        before = np.r_[0, np.cumsum(sizes[pieces])]
+        return ids, before[np.r_[0, np.cumsum(per_text)]]
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> Iterator[str]:
+        """Of each text the tokens of its ids, joined by a space."""
+        return joined(self.token, ids, ends)
+
+
+def joined(names: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> Iterator[str]:
+    """The names of the ids of each text, joined by a space."""
+    found = names[ids].tolist()
+    for at, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        yield " ".join(found[at:end])
 
 
 @lru_cache(maxsize=2)
@@ -164,28 +167,23 @@ def _vocabulary(docs: DataFrame, file: str) -> str:
     return file.rsplit("/", 1)[-1]
 
 
-TEXTS_AT_ONCE = 1024
+BYTES_AT_ONCE = 4 << 20  # of text encoded together
 
 
 def encode(docs: DataFrame, file: str) -> DataFrame:
     """doc_id, n_tokens, ids (array) and decoded of every whole text."""
     name = _vocabulary(docs, file)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = list(_loaded(name).encode(texts(batch.column(1))))
-        ids = [np.frombuffer(row[3], dtype="<i4") for row in rows]
-        return pa.record_batch(
-            [
-                batch.column(0).cast(pa.int64()),
-                pa.array([row[0] for row in rows], pa.int64()),
-                pa.array(ids, pa.list_(pa.int32())),
-                pa.array([row[2] for row in rows], pa.string()),
-            ],
-            names=["doc_id", "n_tokens", "ids", "decoded"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_size(batch, 1, BYTES_AT_ONCE):
+                ids, ends = _loaded(name).encode(part.column(1))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                decoded = pa.array(_loaded(name).decode(ids, ends), pa.string())
+                columns = [part.column(0).cast(pa.int64()), pa.array(np.diff(ends)), lists, decoded]
+                yield pa.record_batch(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
 
-    schema = "doc_id long, n_tokens long, ids array<int>, decoded string"
-    return map_batches(only(docs, "doc_id", "text"), schema, work, rows=TEXTS_AT_ONCE)
+    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, file: str) -> DataFrame:
@@ -195,16 +193,14 @@ def digests(docs: DataFrame, file: str) -> DataFrame:
     """
     name = _vocabulary(docs, file)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, of_ids, of_texts = [], [], []
-        for n, ids, decoded, _ in _loaded(name).encode(texts(batch.column(1))):
-            counts.append(n)
-            of_ids.append(sha256(ids.encode()).hexdigest())
-            of_texts.append(sha256(decoded.encode()).hexdigest())
-        return pa.record_batch(
-            [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_texts)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_size(batch, 1, BYTES_AT_ONCE):
+                ids, ends = _loaded(name).encode(part.column(1))
+                columns = [part.column(0).cast(pa.int64()), pa.array(np.diff(ends))]
+                for texts in (joined(_loaded(name).decimal, ids, ends), _loaded(name).decode(ids, ends)):
+                    columns.append(pa.array([sha256(text.encode()).hexdigest() for text in texts], pa.string()))
+                yield pa.record_batch(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(only(docs, "doc_id", "text"), schema, work, rows=TEXTS_AT_ONCE)
+    return only(docs, "doc_id", "text").mapInArrow(run, schema)
