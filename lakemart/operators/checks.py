@@ -125,16 +125,17 @@ def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
-    """Every value of the column with its rows and whether it is an accepted one."""
+    """Every value of the column with its rows and whether it is an accepted one, which is what passes."""
     return (
         df.groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("row_count"))
         .withColumn("accepted", F.coalesce(F.col("value").isin(list(accepted)), F.lit(False)))
+        .withColumn("passed", F.col("accepted"))
     )
 
 
 def partition_completeness(df: DataFrame, partition: str) -> DataFrame:
-    """Rows of every day from the first to the last partition; a day without rows is incomplete."""
+    """Rows of every day from the first to the last partition; a day without rows is incomplete and fails."""
     per_day = df.where(F.col(partition).isNotNull()).groupBy(F.col(partition).alias("day")).agg(
         F.count("*").alias("row_count")
     )
@@ -145,11 +146,15 @@ def partition_completeness(df: DataFrame, partition: str) -> DataFrame:
         "day",
         F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),
         F.col("row_count").isNotNull().alias("complete"),
+        F.col("row_count").isNotNull().alias("passed"),
     )
 
 
-def row_count_drift(df: DataFrame, partition: str) -> DataFrame:
-    """Rows per day next to those of the day before in the table, and the relative change."""
+def row_count_drift(df: DataFrame, partition: str, tolerance: float = 0.5) -> DataFrame:
+    """Rows per day next to those of the day before in the table, and the relative change.
+
+    A change of more than ``tolerance``, up or down, fails; the first day has nothing to differ from and passes.
+    """
     per_day = df.groupBy(F.col(partition).alias("day")).agg(F.count("*").alias("row_count"))
     # One row per calendar day is left here, so the window without a partition stays small.
     before = F.lag("row_count").over(Window.orderBy("day"))
@@ -157,6 +162,7 @@ def row_count_drift(df: DataFrame, partition: str) -> DataFrame:
         per_day.where(F.col("day").isNotNull())
         .withColumn("previous_count", before)
         .withColumn("drift", (F.col("row_count") - F.col("previous_count")) / F.col("previous_count"))
+        .withColumn("passed", F.coalesce(F.abs("drift") <= tolerance, F.lit(True)))
     )
 
 

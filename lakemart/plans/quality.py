@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +11,15 @@ from lakemart.contracts import CONTRACTS, EXPECTED_ROWS
 from lakemart.functions import clean
 from lakemart.operators.checks import (
     TableRules,
+    accepted_values,
     check_rules,
     close_values,
     count_rows,
     enforce,
     equal_values,
     measure,
+    partition_completeness,
+    row_count_drift,
     union_all,
 )
 from lakemart.operators.joins import unknown_rows
@@ -250,8 +253,19 @@ def orders_with_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     return orders.join(order_items.select("order_id").distinct(), "order_id", "left_semi")
 
 
-def gate(tables: Mapping[str, DataFrame], expected: DataFrame | Mapping[str, int] | None = None) -> None:
-    """All checks of a finished build, each a hard stop: row counts where expected, quality, freshness, totals."""
+def gate(
+    tables: Mapping[str, DataFrame],
+    expected: DataFrame | Mapping[str, int] | None = None,
+    *,
+    accepted_status: Sequence[str] | None = None,
+    every_day: bool = False,
+    drift_tolerance: float | None = None,
+) -> None:
+    """All checks of a finished build, each a hard stop: row counts where expected, quality, freshness, totals.
+
+    The three checks of a table's values and days stop a run only where they are asked for: order statuses
+    off the list, days without orders, and a daily number of orders that changes by more than the tolerance.
+    """
     orders, items, payments = (tables[f"{n}_silver"] for n in ("orders", "order_items", "payments"))
     marts = [tables[f"{n}_gold"] for n in ("daily_sales", "category_sales", "customer_ltv")]
     if expected is not None:
@@ -260,3 +274,10 @@ def gate(tables: Mapping[str, DataFrame], expected: DataFrame | Mapping[str, int
     enforce(freshness(orders, items, *marts))
     enforce(reconcile_counts(orders, items, *marts))
     enforce(reconcile_values(items, payments, *marts))
+    day = CONTRACTS["orders_silver"].partition
+    if accepted_status is not None:
+        enforce(accepted_values(orders, "order_status", accepted_status))
+    if every_day:
+        enforce(partition_completeness(orders, day))
+    if drift_tolerance is not None:
+        enforce(row_count_drift(orders, day, drift_tolerance))

@@ -619,15 +619,18 @@ _STATEMENTS = {
         SELECT *, abs(actual - expected) AS diff, abs(actual - expected) <= 0.01 AS passed FROM ({_VALUES})""",
     "check_row_counts": _row_counts(),
     "check_accepted_values": """
-        SELECT order_status AS value, count(*) AS row_count, order_status IN ('f', 'o') AS accepted
+        SELECT order_status AS value, count(*) AS row_count, order_status IN ('f', 'o') AS accepted,
+               order_status IN ('f', 'o') AS passed
         FROM s_orders GROUP BY order_status""",
     "check_partition_completeness": """
-        SELECT CAST(d.day AS DATE) AS day, count(o.order_id) AS row_count, count(o.order_id) > 0 AS complete
+        SELECT CAST(d.day AS DATE) AS day, count(o.order_id) AS row_count, count(o.order_id) > 0 AS complete,
+               count(o.order_id) > 0 AS passed
         FROM (SELECT unnest(generate_series(min(dt), max(dt), INTERVAL 1 DAY)) AS day FROM b_orders) d
              LEFT JOIN b_orders o ON o.dt = CAST(d.day AS DATE)
         GROUP BY 1""",
     "check_row_count_drift": """
-        SELECT day, row_count, previous_count, CAST(row_count - previous_count AS DOUBLE) / previous_count AS drift
+        SELECT day, row_count, previous_count, CAST(row_count - previous_count AS DOUBLE) / previous_count AS drift,
+               previous_count IS NULL OR abs(CAST(row_count - previous_count AS DOUBLE) / previous_count) <= 0.5 AS passed
         FROM (SELECT dt AS day, count(*) AS row_count, lag(count(*)) OVER (ORDER BY dt) AS previous_count
               FROM b_orders GROUP BY dt)""",
     "rejected_values": _rejected(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.contracts import CONTRACTS, RAW_FILES
-from lakemart.operators import versions
+from lakemart.operators import checks, versions
 from lakemart.operators.checks import enforce
 from lakemart.plans import build, gold, quality, refresh, reports, silver
 from lakemart.sources import change_log, files
@@ -85,6 +85,19 @@ def test_all_checks_pass(built):
         enforce(quality.row_counts(tables, expected | {"orders_silver": 1}))
 
 
+def test_document_checks_stop_where_asked_for(built):
+    orders, day = built[0]["orders_silver"], CONTRACTS["orders_silver"].partition
+    statuses = [row[0] for row in orders.select("order_status").distinct().collect()]
+    enforce(checks.accepted_values(orders, "order_status", statuses))
+    with pytest.raises(checks.ChecksFailed, match=f"value={statuses[0]}"):
+        quality.gate(built[0], accepted_status=statuses[1:])
+    one, two, four = ((d, f"2024-01-0{d}") for d in (1, 2, 4))
+    days = orders.sparkSession.createDataFrame([one, one, two, four, four], "n int, d string").selectExpr("n", f"date(d) AS {day}")
+    assert [r["day"].day for r in checks.partition_completeness(days, day).where("NOT passed").collect()] == [3]
+    assert checks.row_count_drift(days, day, 1.0).where("NOT passed").count() == 0
+    assert [r["day"].day for r in checks.row_count_drift(days, day).where("NOT passed").collect()] == [4]
+
+
 def test_reports_equal_sql_on_views(spark, built):
     tables = built[0]
     files.register_views(tables)
