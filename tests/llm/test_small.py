@@ -5,10 +5,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from lakemart.llm import anchor_simhash, exact_dedup, quality_forest, shard_tree, token_files, warc, word_bpe
+from lakemart.llm import anchor_simhash, common, exact_dedup, quality_forest, shard_tree, token_files, warc, word_bpe
 
 SCHEMA = "doc_id long, text string, lang string, kept string, DOC_ID string"
 LONG = " ".join(f"word{i % 977}" for i in range(20_000))
@@ -109,3 +110,57 @@ def test_empty_tables(empty):
     assert exact_dedup.decisions(empty).count() == 0
     assert shard_tree.with_slots(shard_tree.assign(empty)).count() == 0
     assert quality_forest.statistics(empty).count() == 0
+
+
+PARTS = ["a", " ", "  ", "\n", "word", " W", "é", " ", " ", "<|endoftext|>", "'s", "12", "!?", "\0", "日本", "\r\n", "a,", "é.", "don't", "x: ", "Σ", "İ"]
+
+
+def mixed_texts():
+    draw = np.random.default_rng(3)
+    made = ["".join(draw.choice(PARTS, draw.integers(0, 14))) for _ in range(5000)]
+    return [None, "", *made, " ", ".", "", None]
+
+
+@pytest.mark.parametrize("first", [0, 1, 7])
+def test_pieces_give_the_ids_of_whole_texts(first):
+    column = pa.array(mixed_texts()).slice(first)
+    whole = [text or "" for text in column.to_pylist()]
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    expected = [made.ids + [2] for made in Tokenizer.from_file(file).encode_batch(whole, add_special_tokens=False)]
+    found = token_files.PieceEncoder(file).encode(column, 2).to_pylist()
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
+    file = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(file)
+    expected = [made.ids for made in library.encode_batch(whole, add_special_tokens=False)]
+    ids, ends = (mine := word_bpe.WordBpe(file)).encode(column)
+    assert [ids[at:end].tolist() for at, end in zip(ends[:-1], ends[1:], strict=True)] == expected
+    assert list(mine.decode(ids, ends)) == [library.decode(x, skip_special_tokens=False) for x in expected]
+
+
+@pytest.mark.parametrize("column", [[], [None], ["", None, ""]])
+def test_nothing_to_cut(column):
+    distinct, pieces, per_text = common.cut(pa.array(column, pa.string()))
+    assert (distinct, len(pieces), per_text.tolist()) == ([], 0, [0] * len(column))
+
+
+def test_cut_keeps_the_texts():
+    texts = mixed_texts()
+    distinct, pieces, per_text = common.cut(pa.array(texts))
+    ends = np.cumsum(per_text)
+    joined = ["".join(distinct[i] for i in pieces[end - n : end]) for n, end in zip(per_text, ends, strict=True)]
+    assert joined == [text or "" for text in texts]
+
+
+def test_remembered_forgets_old_pieces_and_keeps_no_long_ones():
+    asked = []
+    lengths = common.Remembered(2, lambda pieces: [asked.append(piece) or len(piece) for piece in pieces])
+    long = "x" * 500
+    for pieces in (["a", "bb", "ccc"], ["a", long], [long, "dddd"], ["e", "f"], ["g"], ["bb"]):
+        assert lengths(pieces) == [len(piece) for piece in pieces]
+    assert asked == ["a", "bb", "ccc", long, long, "dddd", "e", "f", "g", "bb"]
+
+
+def test_parts_hold_so_many_bytes_or_one_row():
+    batch = pa.record_batch([pa.array([1, 2, 3, 4]), pa.array(["aa", None, "b" * 50, "cc"])], names=["doc_id", "text"])
+    assert [part.column(0).to_pylist() for part in common.by_size(batch, 1, 10)] == [[1, 2], [3], [4]]
+    assert list(common.by_size(batch.slice(0, 0), 1, 10)) == []
