@@ -39,7 +39,6 @@ TELLING = 48  # buckets the classifier keeps for each further domain, at most: t
 CERTAIN = 5.0  # standard errors the log odds of a bucket must be off zero
 PENALTY = 1e-3  # on squared weights
 SMOOTHING = 0.5
-LEAST_SEEN = 8  # a bucket in fewer documents of a domain's sample counts as in none
 STEPS = 12  # gradient steps at most
 TOLERANCE = 1e-5  # of all wanted tokens: a residual, or a change in one step, at which the fit ends
 
@@ -83,16 +82,32 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.select("domain", F.array_distinct(buckets(words(F.col("text")))).alias("at"))
 
 
-def _telling(has: np.ndarray, size: np.ndarray) -> list[int]:
+def _certain(sample: DataFrame, size: list[int]) -> DataFrame:
+    """Bucket b, and for each further domain how surely its documents have b more or less often than those of the first.
+
+    The counts are exact in all domains; buckets that are sure in no domain are left out.
+    """
+    found = sample.select("domain", F.explode("at").alias("b")).groupBy("b")
+    counted = found.agg(*[F.sum((F.col("domain") == k).cast("long")).alias(f"n{k}") for k in range(len(DOMAINS))])
+
+    def logit(k: int) -> Column:
+        return F.log((F.col(f"n{k}") + SMOOTHING) / (size[k] - F.col(f"n{k}") + SMOOTHING))
+
+    def error(k: int) -> Column:
+        return 1 / (F.col(f"n{k}") + SMOOTHING) + 1 / (size[k] - F.col(f"n{k}") + SMOOTHING)
+
+    further = range(1, len(DOMAINS))
+    sure = [(F.abs(logit(k) - logit(0)) / F.sqrt(error(k) + error(0))).alias(f"sure{k}") for k in further]
+    return counted.select("b", *sure).where(F.greatest(*[F.col(f"sure{k}") for k in further]) >= CERTAIN)
+
+
+def _telling(sample: DataFrame, size: list[int]) -> list[int]:
     """Buckets that documents of a further domain have surely more or less often than those of the first."""
-    share = (has + SMOOTHING) / (size + 2 * SMOOTHING)[:, None]
-    error = 1 / (has + SMOOTHING) + 1 / (size[:, None] - has + SMOOTHING)
-    logit = np.log(share / (1 - share))
-    certainty = np.abs(logit[1:] - logit[0]) / np.sqrt(error[1:] + error[0])
+    rows = _certain(sample, size).orderBy("b").collect()  # the sure ones only
     chosen: set[int] = set()
-    for row in certainty:
-        best = np.argsort(-row, kind="stable")[:TELLING]
-        chosen.update(best[row[best] >= CERTAIN].tolist())
+    for k in range(1, len(DOMAINS)):
+        best = sorted(rows, key=lambda row: -row[f"sure{k}"])[:TELLING]
+        chosen.update(row["b"] for row in best if row[f"sure{k}"] >= CERTAIN)
     return sorted(chosen)
 
 
@@ -114,16 +129,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
 def fit_classifier(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     """Telling buckets, and their weights from the labelled sample. None where it has one domain only."""
     sample = stored(_sample(docs, labels), "labelled_words")
-    size = np.zeros(len(DOMAINS))
+    size = [0] * len(DOMAINS)
     for row in sample.groupBy("domain").count().collect():
         size[row["domain"]] = row["count"]
-    if (size > 0).sum() < 2:
+    if sum(n > 0 for n in size) < 2:
         return None
-    has = np.zeros((len(DOMAINS), BUCKETS + ENDS))  # as many counts come back, at most
-    seen = sample.select("domain", F.explode("at").alias("b")).groupBy("domain", "b").count()
-    for row in seen.where(F.col("count") >= LEAST_SEEN).collect():
-        has[row["domain"], row["b"]] = row["count"]
-    telling = _telling(has, size)
+    telling = _telling(sample, size)
     place = {bucket: n for n, bucket in enumerate(telling)}
     rows = sample.select("domain", F.filter("at", lambda x: x.isin([-1, *telling])).alias("at")).collect()
     x = np.zeros((len(rows), len(telling) + 1))
