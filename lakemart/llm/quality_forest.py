@@ -1,7 +1,8 @@
 """Quality rules: rule statistics of every document, and an isolation forest that finds odd ones.
 
 ``statistics`` counts, per whole text, what the rules look at. ``fit_forest`` grows random split trees on
-a bounded sample of labelled rows; odd documents are cut off after few splits. ``calibrate`` picks the
+a bounded sample of rows labelled good; odd documents are cut off after few splits, or for lying outside of
+what a node holds. ``calibrate`` picks the
 score beyond which a document counts as odd from all labelled rows. ``judge`` joins the two verdicts.
 
 Defined cases: a null text counts as empty, and an empty or wordless text fails the base rule; a null
@@ -109,28 +110,46 @@ def _expected_depth(rows: np.ndarray | int) -> np.ndarray:
 
 
 class Forest(NamedTuple):
-    """Trees as flat arrays: split feature (or -1 in a leaf), threshold, children, depth of a leaf."""
+    """Trees as flat arrays: split feature (or -1 in a leaf), threshold, children, depth, expected depth of what
+    ends in a leaf, and the lowest and highest value of each feature among the rows of a node."""
 
     feature: np.ndarray
     threshold: np.ndarray
     left: np.ndarray
     right: np.ndarray
     depth: np.ndarray
+    end: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
     roots: np.ndarray
     rows: int
 
+    def _cut_off(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """The chance that a random cut at the node, drawn with the document among its rows, cuts it off."""
+        low, high = self.low[node], self.high[node]
+        outside = np.maximum(np.maximum(low - x, x - high), 0)
+        wide = high - low + outside
+        able = wide > 0
+        return (outside / np.where(able, wide, 1)).sum(axis=1) / np.maximum(able.sum(axis=1), 1)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Between 0 and 1; the shorter the paths, the higher."""
+        """Between 0 and 1; the shorter the expected paths, the higher.
+
+        At each node a document may leave the tree for being outside the values of the node's rows, also in a
+        feature in which these rows are all equal and which no split looks at.
+        """
         total = np.zeros(len(x))
-        every = np.arange(len(x))
         for root in self.roots:
-            node = np.full(len(x), root)
-            while (inner := self.feature[node] >= 0).any():
-                goes = every[inner]
-                at = node[goes]
-                low = x[goes, self.feature[at]] < self.threshold[at]
-                node[goes] = np.where(low, self.left[at], self.right[at])
-            total += self.depth[node]
+            goes, node, stays = np.arange(len(x)), np.full(len(x), root), np.ones(len(x))
+            while len(goes):
+                off = self._cut_off(x[goes], node)
+                total[goes] += stays * off * (self.depth[node] + 1)
+                stays = stays * (1 - off)
+                leaf = self.feature[node] < 0
+                total[goes[leaf]] += stays[leaf] * self.end[node[leaf]]
+                goes, node, stays = goes[~leaf], node[~leaf], stays[~leaf]
+                below = x[goes, self.feature[node]] < self.threshold[node]
+                node = np.where(below, self.left[node], self.right[node])
         return np.exp2(-total / len(self.roots) / max(float(_expected_depth(self.rows)), 1.0))
 
 
@@ -140,11 +159,13 @@ def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, s
     rows = min(tree_rows, len(x))
     limit = int(np.ceil(np.log2(max(rows, 2))))
     nodes: list[list[float]] = []
+    boxes: list[tuple[np.ndarray, np.ndarray]] = []
 
     def grow(part: np.ndarray, depth: int) -> int:
         here = len(nodes)
-        nodes.append([-1, 0.0, -1, -1, depth + float(_expected_depth(len(part)))])
         low, high = part.min(axis=0), part.max(axis=0)
+        nodes.append([-1, 0.0, -1, -1, depth, depth + float(_expected_depth(len(part) + 1))])
+        boxes.append((low, high))
         open_features = np.flatnonzero(high > low)
         if depth < limit and len(part) > 1 and len(open_features):
             chosen = int(random.choice(open_features))
@@ -158,7 +179,8 @@ def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, s
     roots = [grow(x[random.choice(len(x), rows, replace=False)], 0) for _ in range(trees)]
     made = np.array(nodes)
     whole = made[:, [0, 2, 3]].astype(np.int64).T
-    return Forest(whole[0], made[:, 1], whole[1], whole[2], made[:, 4], np.array(roots), rows)
+    low, high = (np.array(side) for side in zip(*boxes, strict=True))
+    return Forest(whole[0], made[:, 1], whole[1], whole[2], made[:, 4], made[:, 5], low, high, np.array(roots), rows)
 
 
 def label_rows(labels: DataFrame) -> DataFrame:
@@ -168,9 +190,12 @@ def label_rows(labels: DataFrame) -> DataFrame:
 
 
 def fit_forest(labelled: DataFrame, *, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 7) -> Forest | None:
-    """A forest grown on at most ``trees * tree_rows`` labelled rows, picked by a hash of their id."""
+    """A forest grown on at most ``trees * tree_rows`` rows labelled good, picked by a hash of their id.
+
+    Only good rows: were junk among them, it would be inside the trees and count as usual.
+    """
     order = [F.xxhash64("doc_id", F.lit(seed)), "doc_id", *COUNTS]
-    sample = labelled.orderBy(*order).limit(trees * tree_rows).select(*COUNTS).toPandas()
+    sample = labelled.where("good = 1").orderBy(*order).limit(trees * tree_rows).select(*COUNTS).toPandas()
     return grow_forest(features(sample.to_numpy()), trees, tree_rows, seed) if len(sample) else None
 
 

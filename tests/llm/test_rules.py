@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lakemart.llm import soft_mixing
+from lakemart.llm import quality_forest, soft_mixing
 
 DOCS = "doc_id long, text string, lang string"
 
@@ -50,3 +50,45 @@ def test_a_toxic_word_seen_in_seven_documents_tells(spark):
     docs, labels = spark.createDataFrame(made, DOCS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
     slur = spark.sql(f"SELECT pmod(xxhash64('slur'), {soft_mixing.BUCKETS})").first()[0]
     assert slur in soft_mixing.fit_classifier(docs, labels).telling
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def plain(i):
+    """A text of more than 50 words of differing lengths."""
+    return " ".join(f"w{'a' * ((i * 7 + n * (1 + i % 3)) % (3 + i % 5))}{n}" for n in range(60 + i % 40))
+
+
+def junk(i):
+    """The like with symbols, which good texts never have; no fewer than nine words of them."""
+    words = (("#" * (i % 7) + "w" + "a" * (n % 4)) if n % (1 + i % 3) == 0 else f"w{n}" for n in range(60 + i % 30))
+    return "#$ " * 9 + " ".join(words)
+
+
+def test_junk_that_good_rows_never_look_like_is_rejected(spark):
+    texts = [plain(i) for i in range(300)] + [junk(i) for i in range(200)]
+    docs = spark.createDataFrame([(i, text, "en") for i, text in enumerate(texts)], DOCS)
+    labels = spark.createDataFrame([(i, int(i < 300), 0) for i in range(500)], LABELS)
+    assert {r["doc_id"] for r in quality_forest.judge(docs, labels).where("NOT kept").collect()} == set(range(300, 500))
+
+
+def brute_depth(forest, x, node):
+    """The expected depth at which ``x`` leaves a tree, one node after the other."""
+    away = np.maximum(np.maximum(forest.low[node] - x, x - forest.high[node]), 0)
+    wide = forest.high[node] - forest.low[node] + away
+    off = np.mean([a / w for a, w in zip(away, wide, strict=True) if w > 0] or [0])
+    if forest.feature[node] < 0:
+        return off * (forest.depth[node] + 1) + (1 - off) * forest.end[node]
+    below = x[forest.feature[node]] < forest.threshold[node]
+    return off * (forest.depth[node] + 1) + (1 - off) * brute_depth(forest, x, (forest.left if below else forest.right)[node])
+
+
+def test_scores_are_those_of_single_paths():
+    draw = np.random.default_rng(5)
+    rows = np.column_stack([np.zeros(200), draw.normal(size=(200, 2)), draw.integers(0, 3, 200)])
+    forest = quality_forest.grow_forest(rows, trees=5, tree_rows=64)
+    asked = np.vstack([rows[:20], draw.normal(size=(20, 4)) * 3])
+    depths = np.array([np.mean([brute_depth(forest, x, root) for root in forest.roots]) for x in asked])
+    expected = np.exp2(-depths / quality_forest._expected_depth(64))
+    assert np.allclose(forest.score(asked), expected)
