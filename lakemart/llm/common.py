@@ -55,6 +55,31 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def text_digest(text: Column, *, lower: bool = False) -> Column:
+    """SHA-256 of the whole text, with A-Z in lower case if asked; null counts as empty."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.unhex(F.sha2(F.translate(whole, UPPER, LOWER) if lower else whole, 256))
+
+
+def per_row(docs: DataFrame, verdicts: DataFrame, how: str, *, lower: bool = False) -> DataFrame:
+    """``docs`` joined with ``verdicts`` on doc_id (also null) and the digest of the whole text.
+
+    So rows that share a doc_id are judged each for itself. The columns of ``docs`` are numbered c0, c1, ..., then
+    comes ``_digest``, so that names that differ in case only do not clash; ``named`` gives the names back.
+    """
+    places = [docs.columns.index(name) for name in ("doc_id", "text")]
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own = numbered.withColumn("_digest", text_digest(F.col(f"c{places[1]}"), lower=lower))
+    theirs = verdicts.withColumnsRenamed({"doc_id": "_of_id", "digest": "_of_digest"})
+    on = same(F.col(f"c{places[0]}"), F.col("_of_id")) & (F.col("_digest") == F.col("_of_digest"))
+    return own.join(theirs, on, how)
+
+
+def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` out of what ``per_row`` gave."""
+    return rows.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
+
+
 def by_size(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """``batch`` cut so that the texts of a part have at most ``size`` bytes, or it is a single row."""
     ends = np.cumsum(np.array([len(text) for text in text_bytes(batch.column(column))], dtype=np.int64))

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import map_batches, only, partitions, same
+from lakemart.llm.common import map_batches, named, only, partitions, per_row, same
 from lakemart.session import stored
 
 SLOTS = 4  # fingerprints a cell of the filter holds
@@ -247,9 +247,9 @@ def _compared(docs: DataFrame, rows: DataFrame, digest: Digest) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
     decided = stored(decisions(docs), "dedup_decisions")
-    stays = decided.where("kept").select(F.col("doc_id").alias("_stays")).distinct()
-    kept = docs.join(stays.hint("shuffle_hash"), same(docs["doc_id"], stays["_stays"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    stays = decided.where("kept").select("doc_id", "digest").distinct()
+    kept = per_row(docs, stays.hint("shuffle_hash"), "left_semi", lower=True)
+    return named(kept.dropDuplicates([f"c{docs.columns.index('doc_id')}", "_digest"]), docs)
 
 
 # The index as a table: one row per bucket with its filter, live digests and the doc_id kept for each.

@@ -12,6 +12,7 @@ nothing but the base rule rejects; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import map_batches, only, same, text_bytes
+from lakemart.llm.common import map_batches, named, only, per_row, text_bytes
 from lakemart.session import stored
 
 # White space between words, and the symbols that count.
@@ -29,7 +30,7 @@ CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 CONTINUATION = bytes(range(0x80, 0xC0))  # a code point has one byte that is not one of these
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_capitals")
-SCHEMA = "doc_id long, " + ", ".join(f"{name} long" for name in COUNTS)
+SCHEMA = "doc_id long, digest binary, " + ", ".join(f"{name} long" for name in COUNTS)
 
 TREES = 100  # trees of the forest
 TREE_ROWS = 256  # rows each tree is grown on; together they bound the sample of labelled rows
@@ -79,13 +80,15 @@ def text_counts(text: bytes) -> tuple[int, ...]:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts of every whole text."""
+    """doc_id, SHA-256 and the counts of every whole text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts = np.array([text_counts(text) for text in text_bytes(batch.column(1))], dtype=np.int64)
+        texts = text_bytes(batch.column(1))
+        made = pa.array([hashlib.sha256(text).digest() for text in texts], pa.binary())
+        counts = np.array([text_counts(text) for text in texts], dtype=np.int64).reshape(-1, len(COUNTS))
         return pa.record_batch(
-            [batch.column(0).cast(pa.int64()), *[pa.array(column) for column in counts.T]],
-            names=["doc_id", *COUNTS],
+            [batch.column(0).cast(pa.int64()), made, *[pa.array(column) for column in counts.T]],
+            names=["doc_id", "digest", *COUNTS],
         )
 
     return map_batches(only(docs, "doc_id", "text"), SCHEMA, work)
@@ -236,8 +239,8 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, good_cost: float = GOOD_COST) -> DataFrame:
-    """doc_id, the counts, base_failed, score, threshold and kept of every row of ``docs``.
+def _judged(docs: DataFrame, labels: DataFrame, good_cost: float = GOOD_COST) -> DataFrame:
+    """What ``judge`` gives, and the digest of the text.
 
     The counts are stored once; only they, not the texts, meet the labels.
     """
@@ -255,7 +258,12 @@ def judge(docs: DataFrame, labels: DataFrame, *, good_cost: float = GOOD_COST) -
     )
 
 
+def judge(docs: DataFrame, labels: DataFrame, *, good_cost: float = GOOD_COST) -> DataFrame:
+    """doc_id, the counts, base_failed, score, threshold and kept of every row of ``docs``."""
+    return _judged(docs, labels, good_cost).drop("digest")
+
+
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    rejected = judge(docs, labels).where("NOT kept").select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, same(docs["doc_id"], rejected["_rejected"]), "left_anti")
+    rejected = _judged(docs, labels).where("NOT kept").select("doc_id", "digest").distinct()
+    return named(per_row(docs, rejected, "left_anti"), docs)

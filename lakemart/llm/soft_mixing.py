@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import only, same
+from lakemart.llm.common import named, only, per_row, text_digest
 from lakemart.session import stored
 
 DOMAINS = ("good", "poor", "toxic")
@@ -234,12 +234,13 @@ def fit_rates(posteriors: DataFrame, targets: Mapping[str, float] = TARGETS) ->
     return Fit(steps, [float(x) for x in wanted], [float(x) for x in reached])
 
 
-def copies(rate_: Column, posteriors: Column, doc_id: Column) -> Column:
+def copies(rate_: Column, posteriors: Column, doc_id: Column, digest: Column) -> Column:
     """Copies of a document: the whole part of its rate, and one more with the chance of the rest.
 
-    The draw follows from the doc_id. Documents that are more likely in the kept domain than not stay.
+    The draw follows from the doc_id and the digest of the text, so that rows without a doc_id have draws of
+    their own. Documents that are more likely in the kept domain than not stay.
     """
-    draw = F.pmod(F.xxhash64(doc_id, F.lit("copy")), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(doc_id, digest, F.lit("copy")), F.lit(1 << 30)) / float(1 << 30)
     drawn = F.floor(rate_) + (draw < rate_ - F.floor(rate_)).cast("long")
     sure = F.get(posteriors, F.lit(DOMAINS.index(KEPT_DOMAIN))) > 0.5
     return F.greatest(drawn, sure.cast("long")).cast("int")
@@ -247,8 +248,9 @@ def copies(rate_: Column, posteriors: Column, doc_id: Column) -> Column:
 
 def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) -> tuple[DataFrame, Classifier | None, Fit]:
     model = fit_classifier(docs, labels)
-    read = with_posteriors(only(docs, "doc_id", "text"), F.col("text"), model)
-    table = stored(read.select("doc_id", F.col("_mix_tokens").alias("tokens"), F.col("_mix_p").alias("p")), "posteriors")
+    own = only(docs, "doc_id", "text").withColumn("digest", text_digest(F.col("text")))
+    read = with_posteriors(own, F.col("text"), model)
+    table = stored(read.select("doc_id", "digest", F.col("_mix_tokens").alias("tokens"), F.col("_mix_p").alias("p")), "posteriors")
     fit = fit_rates(table, targets) if model else Fit([], [math.nan] * len(DOMAINS), [math.nan] * len(DOMAINS))
     return table, model, fit
 
@@ -258,18 +260,19 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
     table, _, fit = _fitted(docs, labels, targets)
     rated = table.withColumn("rate", rate(F.col("p"), fit.steps))
     each = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(DOMAINS)]
-    return rated.select("doc_id", "tokens", *each, "rate", copies(F.col("rate"), F.col("p"), F.col("doc_id")).alias("copies"))
+    return rated.select("doc_id", "tokens", *each, "rate", copies(F.col("rate"), F.col("p"), F.col("doc_id"), F.col("digest")).alias("copies"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, with the columns of ``docs``.
 
-    Rows that share a doc_id take the most copies any of them has.
+    Rows that share a doc_id have the copies of their own text.
     """
     table, _, fit = _fitted(docs, labels, targets)
-    often = copies(rate(F.col("p"), fit.steps), F.col("p"), F.col("doc_id"))
-    counted = stored(table.select("doc_id", often.alias("_mix_copies")), "mix_copies")
-    wanted = counted.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("_mix_copies").alias("_mix_copies"))
-    joined = docs.join(wanted.where("_mix_copies > 0"), same(docs["doc_id"], F.col("_mix_id")))
+    often = copies(rate(F.col("p"), fit.steps), F.col("p"), F.col("doc_id"), F.col("digest"))
+    counted = stored(table.select("doc_id", "digest", often.alias("_mix_copies")), "mix_copies")
+    # Rows of one id and text have the same copies.
+    wanted = counted.groupBy("doc_id", "digest").agg(F.max("_mix_copies").alias("_mix_copies"))
+    joined = per_row(docs, wanted.where("_mix_copies > 0"), "inner")
     again = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return again.select(*[F.col(f"`{name}`") for name in docs.columns])
+    return named(again, docs)

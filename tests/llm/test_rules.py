@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lakemart.llm import quality_forest, soft_mixing
+from lakemart.llm import exact_dedup, quality_forest, soft_mixing
 
 DOCS = "doc_id long, text string, lang string"
 
@@ -92,3 +92,38 @@ def test_scores_are_those_of_single_paths():
     depths = np.array([np.mean([brute_depth(forest, x, root) for root in forest.roots]) for x in asked])
     expected = np.exp2(-depths / quality_forest._expected_depth(64))
     assert np.allclose(forest.score(asked), expected)
+
+
+CLASH = "doc_id long, text string, lang string, DOC_ID string"
+
+
+def repeated(texts, ids):
+    return [(i, text, "en", "y") for i, text in zip(ids, texts, strict=True)]
+
+
+def found(rows):
+    return sorted((str(row[0]), str(row[1])) for row in rows.collect())
+
+
+def test_rows_that_share_an_id_are_judged_each_for_itself(spark):
+    texts = [plain(i) for i in range(300)] + [junk(i) for i in range(200)] + [plain(3), junk(4), "short", None, plain(9), junk(9)]
+    docs = spark.createDataFrame(repeated(texts, [*range(500), None, None, None, None, 7, 7]), CLASH)
+    labels = spark.createDataFrame([(i, int(i < 300), 0) for i in range(500)], LABELS)
+    expected = sorted([(str(i), plain(i)) for i in range(300)] + [("None", plain(3)), ("7", plain(9))])
+    assert found(quality_forest.keep_good(docs, labels)) == expected
+
+
+def test_copies_go_where_ids_are_shared(spark):
+    rows = [(1, "Same Text"), (1, "other"), (2, "same text"), (None, "other"), (None, "lost"), (None, "LOST"), (None, None), (3, ""), (2, "Same text")]
+    docs = spark.createDataFrame([(i, text, "en", "y") for i, text in rows], CLASH)
+    kept = found(exact_dedup.dedup(docs))
+    assert [(i, t.lower()) for i, t in kept] == [("1", "other"), ("2", "same text"), ("3", ""), ("None", "lost")]
+
+
+def test_mixing_counts_rows_that_share_an_id_each_for_itself(spark):
+    made, marks = toxic_rows()
+    docs = spark.createDataFrame([(i, text, "en", "y") for i, text, _ in made] + [(None, text, "en", "y") for i, text, _ in made[:700:7]], CLASH)
+    labels = spark.createDataFrame(marks, LABELS)
+    rated = soft_mixing.mixture(docs, labels).collect()
+    mixed = found(soft_mixing.mix(docs, labels))
+    assert len(mixed) == sum(row["copies"] for row in rated)
