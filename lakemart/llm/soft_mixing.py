@@ -23,7 +23,7 @@ from collections.abc import Mapping
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import named, only, per_row, text_digest
@@ -32,11 +32,10 @@ from lakemart.session import stored
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.93, "poor": 0.03, "toxic": 0.04}  # shares of the tokens
 KEPT_DOMAIN = "good"  # its tokens stay as they are, and documents more likely in it than not are never dropped
-SAMPLE = 10_000  # labelled rows the classifier is fitted on, at most
+SAMPLE = 10_000  # labelled rows the classifier is fitted on, at most; of a repeated doc_id the first ones
 BUCKETS = 1 << 16  # hashed words
 ENDS = 1 << 8  # hashed last characters of words
-TELLING = 48  # buckets the classifier keeps for each further domain, at most: the most certain ones
-CERTAIN = 5.0  # standard errors the log odds of a bucket must be off zero
+CERTAIN = 5.0  # standard errors the log odds of a bucket must be off zero; every such bucket is kept
 PENALTY = 1e-3  # on squared weights
 SMOOTHING = 0.5
 STEPS = 12  # gradient steps at most
@@ -76,10 +75,16 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Buckets of the labelled documents of the sample, with their domain."""
+    """Buckets of the rows of the sample, with their domain: SAMPLE rows at most.
+
+    Every labelled doc_id gives its first row before any gives a second, so a repeated one does not fill the sample.
+    """
     chosen = domain_of(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    texts = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # SAMPLE rows at most
-    return texts.select("domain", F.array_distinct(buckets(words(F.col("text")))).alias("at"))
+    texts = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = texts.select("doc_id", "domain", F.array_distinct(buckets(words(F.col("text")))).alias("at"), F.xxhash64("text").alias("mark"))
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("mark"))
+    taken = found.withColumn("turn", turn).where(F.col("turn") <= SAMPLE)  # a limit of each group before the shuffle
+    return taken.orderBy("turn", F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("domain", "at")
 
 
 def _certain(sample: DataFrame, size: list[int]) -> DataFrame:
@@ -103,25 +108,36 @@ def _certain(sample: DataFrame, size: list[int]) -> DataFrame:
 
 def _telling(sample: DataFrame, size: list[int]) -> list[int]:
     """Buckets that documents of a further domain have surely more or less often than those of the first."""
-    rows = _certain(sample, size).orderBy("b").collect()  # the sure ones only
-    chosen: set[int] = set()
-    for k in range(1, len(DOMAINS)):
-        best = sorted(rows, key=lambda row: -row[f"sure{k}"])[:TELLING]
-        chosen.update(row["b"] for row in best if row[f"sure{k}"] >= CERTAIN)
-    return sorted(chosen)
+    return [row["b"] for row in _certain(sample, size).select("b").orderBy("b").collect()]  # the sure ones only
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Weights (domains by features) of a softmax regression, by accelerated gradient descent."""
+def _logistic(row_of: np.ndarray, at: np.ndarray, y: np.ndarray, features: int, rounds: int = 400) -> np.ndarray:
+    """Weights (domains by features) of a softmax regression, by accelerated gradient descent.
+
+    Feature ``at[i]`` is one in row ``row_of[i]`` and zero elsewhere, so memory grows with the ones only.
+    """
+    n = len(y)
     target = np.eye(len(DOMAINS))[y]
-    step = 4.0 / (np.linalg.norm(x, ord=2) ** 2 / len(x) + PENALTY)
-    weights = ahead = np.zeros((len(DOMAINS), x.shape[1]))
-    for n in range(rounds):
-        logits = x @ ahead.T
+
+    def times(weights: np.ndarray) -> np.ndarray:
+        return np.bincount(row_of, weights=weights[at], minlength=n)
+
+    def back(values: np.ndarray) -> np.ndarray:
+        return np.bincount(at, weights=values[row_of], minlength=features)
+
+    largest, vector = 0.0, np.ones(features)
+    for _ in range(100):  # the largest eigenvalue of the Gram matrix, by the power method
+        vector = back(times(vector / np.linalg.norm(vector)))
+        largest = float(np.linalg.norm(vector))
+    step = 4.0 / (1.001 * largest / n + PENALTY)
+    weights = ahead = np.zeros((len(DOMAINS), features))
+    for turn in range(rounds):
+        logits = np.stack([times(row) for row in ahead], axis=1)
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        after = ahead - step / 2 * ((p - target).T @ x / len(x) + PENALTY * ahead)
-        ahead = after + n / (n + 3) * (after - weights)
+        gradient = np.stack([back(column) for column in (p - target).T])
+        after = ahead - step / 2 * (gradient / n + PENALTY * ahead)
+        ahead = after + turn / (turn + 3) * (after - weights)
         weights = after
     return weights
 
@@ -137,11 +153,10 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     telling = _telling(sample, size)
     place = {bucket: n for n, bucket in enumerate(telling)}
     rows = sample.select("domain", F.filter("at", lambda x: x.isin([-1, *telling])).alias("at")).collect()
-    x = np.zeros((len(rows), len(telling) + 1))
-    x[:, -1] = 1
-    for n, row in enumerate(rows):
-        x[n, [place[bucket] for bucket in row["at"]]] = 1
-    weights = _logistic(x, np.array([row["domain"] for row in rows]))
+    last = len(telling)  # the feature that every row has
+    found = [np.array([*[place[bucket] for bucket in row["at"]], last]) for row in rows]
+    row_of = np.repeat(np.arange(len(rows)), [len(ones) for ones in found])
+    weights = _logistic(row_of, np.concatenate(found), np.array([row["domain"] for row in rows]), last + 1)
     odds = weights[1:] - weights[0]
     return Classifier(telling, odds[:, :-1].tolist(), odds[:, -1].tolist())
 

@@ -127,3 +127,14 @@ def test_mixing_counts_rows_that_share_an_id_each_for_itself(spark):
     rated = soft_mixing.mixture(docs, labels).collect()
     mixed = found(soft_mixing.mix(docs, labels))
     assert len(mixed) == sum(row["copies"] for row in rated)
+
+
+def test_every_certain_word_tells_and_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
+    slurs = [f"slur{i}" for i in range(60)]
+    rows = [(i, "plain " + (" ".join(slurs) if i % 2 else "text"), "en") for i in range(200)]
+    docs = spark.createDataFrame(rows + [(0, f"again{i}", "en") for i in range(300)], DOCS)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], LABELS)
+    assert len(soft_mixing.fit_classifier(docs, labels).telling) >= 60
+    monkeypatch.setattr(soft_mixing, "SAMPLE", 210)
+    sample = soft_mixing._sample(docs, labels).collect()
+    assert sorted(row["domain"] for row in sample) == [0] * 110 + [2] * 100
