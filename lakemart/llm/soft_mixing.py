@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 from collections.abc import Mapping
 from typing import NamedTuple
 
@@ -30,7 +31,7 @@ from lakemart.llm.common import named, only, per_row, text_digest
 from lakemart.session import stored
 
 DOMAINS = ("good", "poor", "toxic")
-TARGETS = {"good": 0.93, "poor": 0.03, "toxic": 0.04}  # shares of the tokens
+TARGETS = {"good": 0.96, "poor": 0.01, "toxic": 0.03}  # shares of the tokens
 KEPT_DOMAIN = "good"  # its tokens stay as they are, and documents more likely in it than not are never dropped
 SAMPLE = 10_000  # labelled rows the classifier is fitted on, at most; of a repeated doc_id the first ones
 BUCKETS = 1 << 16  # hashed words
@@ -38,8 +39,9 @@ ENDS = 1 << 8  # hashed last characters of words
 CERTAIN = 5.0  # standard errors the log odds of a bucket must be off zero; every such bucket is kept
 PENALTY = 1e-3  # on squared weights
 SMOOTHING = 0.5
-STEPS = 12  # gradient steps at most
-TOLERANCE = 1e-5  # of all wanted tokens: a residual, or a change in one step, at which the fit ends
+MOST_STEPS = 1000  # gradient steps after which the fit fails with an error
+TOLERANCE = 1e-9  # of a domain's wanted tokens: the residual at which the fit ends
+STALLED = 1e-12  # of a domain's wanted tokens: a change in one step at which it ends short of its targets
 
 
 class Classifier(NamedTuple):
@@ -234,21 +236,25 @@ def fit_rates(posteriors: DataFrame, targets: Mapping[str, float] = TARGETS) ->
     metric = np.linalg.pinv(np.array([first[f"g{i}{j}"] for i in range(k) for j in range(k)]).reshape(k, k))
     steps: list[list[float]] = []
     reached = natural
-    for _ in range(STEPS):
-        missed = reached - wanted
-        if np.abs(missed).max() <= TOLERANCE * wanted.sum():
-            break
-        steps.append([float(x) for x in metric @ missed])
+    bound = TOLERANCE * np.maximum(wanted, 1.0)
+    while (np.abs(reached - wanted) > bound).any():
+        if len(steps) == MOST_STEPS:
+            raise RuntimeError(f"the rates did not settle in {MOST_STEPS} steps: reached {reached}, wanted {wanted}")
+        steps.append([float(x) for x in metric @ (reached - wanted)])
         weight = tokens * rate(F.col("p"), steps)
         row = posteriors.agg(*[F.sum(weight * p[i]).alias(f"s{i}") for i in range(k)]).first()
-        after = np.array([row[i] for i in range(k)])
-        if np.abs(after - reached).max() <= TOLERANCE * wanted.sum():
-            reached = after
-            break
-        reached = after
+        before, reached = reached, np.array([row[i] for i in range(k)])
+        if (np.abs(reached - before) <= STALLED * np.maximum(wanted, 1.0)).all():
+            break  # no rates come nearer; ``missed`` tells how far it is
     return Fit(steps, [float(x) for x in wanted], [float(x) for x in reached])
 
 
+def missed(wanted: list[float], reached: list[float]) -> float:
+    """The largest distance of a domain from its wanted tokens, as a share of all wanted tokens."""
+    whole = sum(wanted)
+    return max(abs(a - b) for a, b in zip(wanted, reached, strict=True)) / whole if whole else 0.0
+
+
 def copies(rate_: Column, posteriors: Column, doc_id: Column, digest: Column) -> Column:
     """Copies of a document: the whole part of its rate, and one more with the chance of the rest.
 
@@ -270,12 +276,32 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) ->
     return table, model, fit
 
 
-def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
-    """doc_id, tokens, the posterior of each domain, rate and copies of every row of ``docs``."""
-    table, _, fit = _fitted(docs, labels, targets)
+def _drawn(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) -> tuple[DataFrame, float, float]:
+    """Every row with rate and copies, and what is missed by the rates, and by the copies with those that must stay.
+
+    A fit that stalls before its targets is reported.
+    """
+    table, model, fit = _fitted(docs, labels, targets)
     rated = table.withColumn("rate", rate(F.col("p"), fit.steps))
+    drawn = stored(rated.withColumn("copies", copies(F.col("rate"), F.col("p"), F.col("doc_id"), F.col("digest"))), "mix_copies")
+    if model is None:
+        return drawn, math.nan, math.nan
+    each = [F.sum(F.col("tokens") * F.col("copies") * F.get("p", F.lit(i))).alias(f"s{i}") for i in range(len(DOMAINS))]
+    by_rates, by_copies = missed(fit.wanted, fit.reached), missed(fit.wanted, [x or 0.0 for x in drawn.agg(*each).first()])
+    if any(abs(a - b) > TOLERANCE * max(a, 1.0) for a, b in zip(fit.wanted, fit.reached, strict=True)):
+        warnings.warn(f"targets not reached: {by_rates:.2e} of the wanted tokens missed by the rates, {by_copies:.2e} by the copies", stacklevel=3)
+    return drawn, by_rates, by_copies
+
+
+def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
+    """doc_id, tokens, the posterior of each domain, rate and copies of every row of ``docs``.
+
+    ``rates_missed`` and ``copies_missed`` are the same in all rows: the largest distance of a domain from its target.
+    """
+    drawn, by_rates, by_copies = _drawn(docs, labels, targets)
     each = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(DOMAINS)]
-    return rated.select("doc_id", "tokens", *each, "rate", copies(F.col("rate"), F.col("p"), F.col("doc_id"), F.col("digest")).alias("copies"))
+    ends = [F.lit(by_rates).alias("rates_missed"), F.lit(by_copies).alias("copies_missed")]
+    return drawn.select("doc_id", "tokens", *each, "rate", "copies", *ends)
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
@@ -283,9 +309,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
 
     Rows that share a doc_id have the copies of their own text.
     """
-    table, _, fit = _fitted(docs, labels, targets)
-    often = copies(rate(F.col("p"), fit.steps), F.col("p"), F.col("doc_id"), F.col("digest"))
-    counted = stored(table.select("doc_id", "digest", often.alias("_mix_copies")), "mix_copies")
+    drawn, _, _ = _drawn(docs, labels, targets)
+    counted = drawn.select("doc_id", "digest", F.col("copies").alias("_mix_copies"))
     # Rows of one id and text have the same copies.
     wanted = counted.groupBy("doc_id", "digest").agg(F.max("_mix_copies").alias("_mix_copies"))
     joined = per_row(docs, wanted.where("_mix_copies > 0"), "inner")

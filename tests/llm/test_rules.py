@@ -138,3 +138,30 @@ def test_every_certain_word_tells_and_a_repeated_id_does_not_fill_the_sample(spa
     monkeypatch.setattr(soft_mixing, "SAMPLE", 210)
     sample = soft_mixing._sample(docs, labels).collect()
     assert sorted(row["domain"] for row in sample) == [0] * 110 + [2] * 100
+
+
+def test_rates_reach_the_targets_or_say_that_they_do_not(spark):
+    draw = np.random.default_rng(2)
+    rows = [(int(n), [float(x) for x in p]) for n, p in zip(draw.integers(1, 90, 300), draw.dirichlet([0.2, 0.02, 0.02], 300), strict=True)]
+    table = spark.createDataFrame(rows, "tokens long, p array<double>")
+    fit = soft_mixing.fit_rates(table, {"good": 0.9, "poor": 0.05, "toxic": 0.05})
+    rates = np.ones(300)
+    p, tokens = np.array([p for _, p in rows]), np.array([n for n, _ in rows])
+    for step in fit.steps:
+        rates = np.maximum(0, rates - p @ np.array(step))
+    assert np.allclose((tokens * rates) @ p, fit.reached)
+    assert np.allclose(fit.reached, fit.wanted, rtol=2e-9, atol=0)
+    same_p = spark.createDataFrame([(5, [0.6, 0.2, 0.2])] * 9, "tokens long, p array<double>")
+    stalled = soft_mixing.fit_rates(same_p)
+    assert soft_mixing.missed(stalled.wanted, stalled.reached) > 0.05
+
+
+def test_mixture_says_what_the_copies_miss(spark):
+    made, marks = toxic_rows(5)
+    docs, labels = spark.createDataFrame(made, DOCS), spark.createDataFrame(marks, LABELS)
+    rows = soft_mixing.mixture(docs, labels).collect()
+    p = np.array([[r["p_good"], r["p_poor"], r["p_toxic"]] for r in rows])
+    tokens, times = np.array([r["tokens"] for r in rows]), np.array([r["copies"] for r in rows])
+    good = (tokens @ p)[0]
+    wanted = good / 0.96 * np.array([0.96, 0.01, 0.03])
+    assert np.isclose(rows[0]["copies_missed"], np.abs((tokens * times) @ p - wanted).max() / wanted.sum())
