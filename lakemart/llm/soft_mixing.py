@@ -7,8 +7,10 @@ each domain, sum of rate * tokens * posterior, match the targets in least square
 aggregate over the stored posteriors that returns one number per domain; the rate of a document follows
 from its posteriors and the steps so far, so nothing is joined.
 
-The residual is measured in the metric of the domains' Gram matrix, sum of tokens * p * p', which makes
-the gradient step of length one stable whatever the overlap of the domains.
+The residual is measured in the metric of a Gram matrix of the domains, sum of tokens * p * p'. Over the rows whose
+rate is above zero it makes a step of length one end at the targets unless further rates meet zero; over all rows it
+makes the step stable whatever the overlap of the domains. Steps take the first, halved until the residual falls in it,
+and the second once ``PATIENCE`` of them have brought nothing.
 
 Defined cases: a null text counts as empty and has no tokens; documents without tokens have the posteriors of
 a document without telling words; repeated rows are rows of their own with the same rate; a null doc_id is drawn like any
@@ -20,7 +22,7 @@ from __future__ import annotations
 import json
 import math
 import warnings
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
 import numpy as np
@@ -36,12 +38,16 @@ KEPT_DOMAIN = "good"  # its tokens stay as they are, and documents more likely i
 SAMPLE = 10_000  # labelled rows the classifier is fitted on, at most; of a repeated doc_id the first ones
 BUCKETS = 1 << 16  # hashed words
 ENDS = 1 << 8  # hashed last characters of words
+DEALT = 1 << 8  # parts of the classifier's look-up table
 CERTAIN = 5.0  # standard errors the log odds of a bucket must be off zero; every such bucket is kept
 PENALTY = 1e-3  # on squared weights
 SMOOTHING = 0.5
-MOST_STEPS = 1000  # gradient steps after which the fit fails with an error
 TOLERANCE = 1e-9  # of a domain's wanted tokens: the residual at which the fit ends
-STALLED = 1e-12  # of a domain's wanted tokens: a change in one step at which it ends short of its targets
+RANK = 1e-10  # of the largest eigenvalue of a metric: below it a direction counts as absent
+LESS = 0.1  # a step has to take at least this share of its length off the residual, or it is halved
+SHORTEST = 1e-3  # length of a step below which none is tried
+PATIENCE = 5  # steps that do not halve the least residual, after which the metric of all rows is kept
+STALLED = 1e-3  # a share of the residual: a step in that metric that takes less away ends the fit short of its targets
 
 
 class Classifier(NamedTuple):
@@ -64,11 +70,6 @@ def buckets(found: Column) -> Column:
     return F.concat(own, end)
 
 
-def constant(values: list[float]) -> Column:
-    """An array as one constant of the plan."""
-    return F.split(F.lit(",".join(f"{value:.6g}" for value in values)), ",").cast("array<double>")
-
-
 def domain_of(labels: DataFrame) -> DataFrame:
     """doc_id and the number of its domain; a document labelled twice takes the last domain that applies."""
     named = only(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL")
@@ -164,17 +165,28 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> Classifier | None:
 
 
 def _sums(at: Column, model: Classifier) -> Column:
-    """Log odds of each further domain, from the telling buckets among those of the words."""
+    """Log odds of each further domain, from the telling buckets among those of the words.
+
+    The odds are one constant, dealt out by the remainder of the bucket so that a look-up meets a few entries only.
+    """
     if not model.telling:
         return F.array(*[F.lit(value) for value in model.base])
+    dealt: list[list[list[float]]] = [[] for _ in range(DEALT)]
+    for bucket, *odds in zip(model.telling, *model.odds, strict=True):
+        dealt[bucket % DEALT].append([bucket, *odds])
+    table = F.from_json(F.lit(json.dumps(dealt)), "array<array<array<double>>>")
     hits = F.array_distinct(F.filter(at, lambda x: x.isin(model.telling)))
-    telling = constant(model.telling).cast("array<int>")
-    places = F.transform(hits, lambda x: F.array_position(telling, x).cast("int") - 1)
 
-    def total(odds: list[float], base: float) -> Column:
-        return F.aggregate(places, F.lit(base), lambda sum_, x: sum_ + F.get(constant(odds), x))
+    def entry(bucket: Column) -> Column:
+        near = F.get(table, F.pmod(bucket, F.lit(DEALT)))
+        return F.get(F.filter(near, lambda odds: F.get(odds, F.lit(0)) == bucket), F.lit(0))
 
-    return F.array(*[total(odds, base) for odds, base in zip(model.odds, model.base, strict=True)])
+    entries = F.transform(hits, entry)
+
+    def total(k: int, base: float) -> Column:
+        return F.aggregate(entries, F.lit(base), lambda sum_, odds: sum_ + F.get(odds, F.lit(k)))
+
+    return F.array(*[total(k + 1, base) for k, base in enumerate(model.base)])
 
 
 def _softmax(sums: Column) -> Column:
@@ -220,32 +232,65 @@ class Fit(NamedTuple):
     reached: list[float]
 
 
+Sums = Callable[[list[list[float]]], tuple[np.ndarray, np.ndarray]]
+
+
+def _step(
+    sums: Sums, steps: list[list[float]], metric: np.ndarray, residual: np.ndarray, wanted: np.ndarray
+) -> tuple[list[list[float]], np.ndarray, np.ndarray] | None:
+    """One more step in ``metric``, as long as brings the residual down in it, and the sums after it; None if none does."""
+    size, length = residual @ metric @ residual, 1.0
+    while length > SHORTEST:
+        taken = [*steps, [float(x) for x in length * (metric @ residual)]]
+        reached, own = sums(taken)
+        if (reached - wanted) @ metric @ (reached - wanted) < (1 - LESS * length) * size:
+            return taken, reached, own
+        length /= 2
+    return None
+
+
 def fit_rates(posteriors: DataFrame, targets: Mapping[str, float] = TARGETS) -> Fit:
-    """Projected-gradient steps for the rows (tokens, p); each costs one aggregate."""
+    """Projected-gradient steps for the rows (tokens, p); each length tried costs one aggregate.
+
+    Ends when the targets are met, or when a step hardly brings the residual down: ``missed`` tells how far it is then.
+    """
     k = len(DOMAINS)
     p = [F.get("p", F.lit(i)) for i in range(k)]
     tokens = F.col("tokens").cast("double")
-    sums = [F.sum(tokens * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)]
-    first = posteriors.agg(*sums, *[F.sum(tokens * p[i]).alias(f"s{i}") for i in range(k)]).first()
-    natural = np.array([first[f"s{i}"] or 0.0 for i in range(k)])
+
+    def sums(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each domain at the rates after ``steps``, and the metric of the rows whose rate is above zero."""
+        rated = posteriors.withColumn("r", rate(F.col("p"), steps))
+        own = F.when(F.col("r") > 0, tokens)
+        square = [F.sum(own * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)]
+        row = rated.agg(*[F.sum(tokens * F.col("r") * p[i]).alias(f"s{i}") for i in range(k)], *square).first()
+        found = np.array([value or 0.0 for value in row])
+        return found[:k], np.linalg.pinv(found[k:].reshape(k, k), RANK, hermitian=True)
+
+    reached, every = sums([])
     weights = np.array([targets[name] for name in DOMAINS])
     kept = DOMAINS.index(KEPT_DOMAIN)
-    wanted = natural[kept] / weights[kept] * weights  # the kept domain stays as it is
-    if not natural.sum():
+    wanted = reached[kept] / weights[kept] * weights  # the kept domain stays as it is
+    if not reached.sum():
         return Fit([], [0.0] * k, [0.0] * k)
-    metric = np.linalg.pinv(np.array([first[f"g{i}{j}"] for i in range(k) for j in range(k)]).reshape(k, k))
     steps: list[list[float]] = []
-    reached = natural
     bound = TOLERANCE * np.maximum(wanted, 1.0)
+    own, best, waited = every, np.inf, 0
     while (np.abs(reached - wanted) > bound).any():
-        if len(steps) == MOST_STEPS:
-            raise RuntimeError(f"the rates did not settle in {MOST_STEPS} steps: reached {reached}, wanted {wanted}")
-        steps.append([float(x) for x in metric @ (reached - wanted)])
-        weight = tokens * rate(F.col("p"), steps)
-        row = posteriors.agg(*[F.sum(weight * p[i]).alias(f"s{i}") for i in range(k)]).first()
-        before, reached = reached, np.array([row[i] for i in range(k)])
-        if (np.abs(reached - before) <= STALLED * np.maximum(wanted, 1.0)).all():
-            break  # no rates come nearer; ``missed`` tells how far it is
+        residual = reached - wanted
+        size = residual @ every @ residual
+        if not size > TOLERANCE**2 * (wanted @ every @ wanted):
+            break  # what is left points where no document does
+        waited = 0 if size < best / 2 else waited + 1
+        best = min(best, size) if waited else size
+        metric = own if waited < PATIENCE else every
+        found = _step(sums, steps, metric, residual, wanted) if metric is not every else None
+        if found is None:  # the plain step, which cannot fail while any step can bring the residual down
+            taken = [*steps, [float(x) for x in every @ residual]]
+            found = taken, *sums(taken)
+            if not (found[1] - wanted) @ every @ (found[1] - wanted) < (1 - STALLED) * size:
+                break
+        steps, reached, own = found
     return Fit(steps, [float(x) for x in wanted], [float(x) for x in reached])
 
 
