@@ -18,6 +18,7 @@ only is null, and ``dedup`` keeps rows without an id; an empty table gives an em
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import map_batches, only, partitions
+from lakemart.llm.common import map_batches, named, only, partitions, per_row, text_bytes
 from lakemart.session import stored
 
 SHINGLE_WORDS = 4
@@ -66,14 +67,15 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number, of every whole text."""
+    """doc_id, fp (the fingerprint as a signed 64-bit number) and the digest of every whole text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         lowered = pc.ascii_lower(batch.column(1).fill_null("")).cast(pa.binary()).to_pylist()
         made = np.array([fingerprint(text) for text in lowered], dtype=np.uint64).view(np.int64)
-        return pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(made)], names=["doc_id", "fp"])
+        digests = pa.array([hashlib.sha256(text).digest() for text in text_bytes(batch.column(1))], pa.binary())
+        return pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(made), digests], names=["doc_id", "fp", "digest"])
 
-    return map_batches(only(docs, "doc_id", "text"), "doc_id long, fp long", work)
+    return map_batches(only(docs, "doc_id", "text"), "doc_id long, fp long, digest binary", work)
 
 
 def _flips(bits: range, most: int) -> np.ndarray:
@@ -269,22 +271,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id reachable) of every row of ``docs``."""
+    """doc_id, digest (of the whole text), fp, component (its smallest fingerprint) and component_id (the smallest
+    doc_id reachable) of every row of ``docs``. A component whose rows all lack a doc_id has no component_id."""
     rows = stored(fingerprints(docs), "fingerprints")
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_classes")
     found = components(links(classes))
-    named = classes.join(found, F.col("fp") == F.col("node"), "left").select(
+    members = classes.join(found, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("of"), "least", F.coalesce("component", "fp").alias("component")
     )
-    smallest = named.groupBy(F.col("component").alias("whole")).agg(F.min("least").alias("component_id"))
-    by_fp = named.join(smallest, F.col("component") == F.col("whole")).select("of", "component_id")
-    return rows.join(by_fp, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
+    smallest = members.groupBy(F.col("component").alias("whole")).agg(F.min("least").alias("component_id"))
+    by_fp = members.join(smallest, F.col("component") == F.col("whole")).select("of", "component", "component_id")
+    return rows.join(by_fp, F.col("fp") == F.col("of")).select("doc_id", "digest", "fp", "component", "component_id")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies, the one with the smallest doc_id, with the columns of ``docs``."""
-    found = near_groups(docs)
-    stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    goes = stays.where("NOT stays").select(F.col("doc_id").alias("_goes"))
-    kept = docs.join(goes.hint("shuffle_hash"), docs["doc_id"] == goes["_goes"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near copies, with the columns of ``docs``.
+
+    It is the one with the smallest doc_id; rows without one come last, and of rows that share it the one with the
+    smallest digest of its text stays. So rows that share a doc_id are judged each for itself.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")).alias("first")
+    stays = near_groups(docs).groupBy("component").agg(first).select("first.doc_id", "first.digest")
+    kept = per_row(docs, stays, "left_semi")
+    return named(kept.dropDuplicates([f"c{docs.columns.index('doc_id')}", "_digest"]), docs)
