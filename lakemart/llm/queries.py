@@ -13,6 +13,8 @@ from lakemart.llm import (
     exact_dedup,
     host_trust,
     interpolated_lm,
+    level_strings,
+    oracle_manifest,
     quality_forest,
     shard_tree,
     soft_mixing,
@@ -104,3 +106,11 @@ def op6_host_trust(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_interpolated_lm(spark: SparkSession, folder: str) -> DataFrame:
     return interpolated_lm.score(table(spark, folder, "documents"))
+
+
+@query
+def op11_level_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return level_strings.verify(table(spark, folder, "documents"))
+
+
+ORACLE["op11_level_strings"] = oracle_manifest.LEVEL_STRINGS
