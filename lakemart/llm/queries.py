@@ -14,8 +14,10 @@ from lakemart.llm import (
     host_trust,
     interpolated_lm,
     level_strings,
+    oracle_divergence,
     oracle_manifest,
     quality_forest,
+    segment_trees,
     shard_tree,
     soft_mixing,
     token_files,
@@ -114,3 +116,11 @@ def op11_level_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op11_level_strings"] = oracle_manifest.LEVEL_STRINGS
+
+
+@query
+def op13_segment_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return segment_trees.divergence(table(spark, folder, "documents"))
+
+
+ORACLE["op13_segment_trees"] = oracle_divergence.SEGMENT_TREES
