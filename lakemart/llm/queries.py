@@ -16,6 +16,7 @@ from lakemart.llm import (
     level_strings,
     oracle_divergence,
     oracle_manifest,
+    phrase_parse,
     quality_forest,
     segment_trees,
     shard_tree,
@@ -124,3 +125,8 @@ def op13_segment_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op13_segment_trees"] = oracle_divergence.SEGMENT_TREES
+
+
+@query
+def op12_phrase_parse(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_parse.removed(table(spark, folder, "documents"))
