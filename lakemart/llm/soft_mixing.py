@@ -2,15 +2,15 @@
 
 A logistic classifier over the hashed words that tell domains apart, fitted on a bounded sample of
 labelled rows, gives every document posteriors over the domains of the labels. A rate (expected copies) per document is then fitted
-by projected gradient: the rates stay nonnegative, start at one, and move until the expected tokens of
-each domain, sum of rate * tokens * posterior, match the targets in least squares. A step needs one
-aggregate over the stored posteriors that returns one number per domain; the rate of a document follows
-from its posteriors and the steps so far, so nothing is joined.
+by projected gradient: the rates start at one and go against the gradient of the squared residual between the expected
+tokens of each domain, sum of rate * tokens * posterior, and the targets; what has been gone so far is one number per
+domain, and the rate is one less its product with the posteriors, projected back to zero where below. A step needs one
+aggregate over the stored posteriors that returns a few numbers; the rate of a document follows from its posteriors, so
+nothing is joined.
 
-The residual is measured in the metric of a Gram matrix of the domains, sum of tokens * p * p'. Over the rows whose
-rate is above zero it makes a step of length one end at the targets unless further rates meet zero; over all rows it
-makes the step stable whatever the overlap of the domains. Steps take the first, halved until the residual falls in it,
-and the second once ``PATIENCE`` of them have brought nothing.
+The gradient is measured in the metric of the domains' Gram matrix, sum of tokens * p * p' over the rows whose rate is above
+zero: a step of length one then ends at the targets unless further rates meet zero. A step is halved until it brings down
+the objective whose gradient the residual is, which also makes the rates those nearest to one.
 
 Defined cases: a null text counts as empty and has no tokens; documents without tokens have the posteriors of
 a document without telling words; repeated rows are rows of their own with the same rate; a null doc_id is drawn like any
@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import math
 import warnings
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from typing import NamedTuple
 
 import numpy as np
@@ -44,10 +44,9 @@ PENALTY = 1e-3  # on squared weights
 SMOOTHING = 0.5
 TOLERANCE = 1e-9  # of a domain's wanted tokens: the residual at which the fit ends
 RANK = 1e-10  # of the largest eigenvalue of a metric: below it a direction counts as absent
-LESS = 0.1  # a step has to take at least this share of its length off the residual, or it is halved
-SHORTEST = 1e-3  # length of a step below which none is tried
-PATIENCE = 5  # steps that do not halve the least residual, after which the metric of all rows is kept
-STALLED = 1e-3  # a share of the residual: a step in that metric that takes less away ends the fit short of its targets
+LESS = 0.1  # share of the expected fall of the objective that a step has to reach, or it is halved
+SHORTEST = 1e-4  # length of a step below which the fit ends
+PATIENCE = 10  # steps that do not halve the least residual, after which the targets count as out of reach
 
 
 class Classifier(NamedTuple):
@@ -210,88 +209,71 @@ def with_posteriors(docs: DataFrame, text: Column, model: Classifier | None) ->
     return summed.withColumn("_mix_p", _softmax(F.col("_mix_sums"))).drop("_mix_words", "_mix_sums")
 
 
-def rate(posteriors: Column, steps: list[list[float]]) -> Column:
-    """The rate after the steps: each goes against the gradient, then back to zero where below.
-
-    The steps are one constant, so the plan is the same size after every step.
-    """
-    taken = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
-
-    def move(value: Column, step: Column) -> Column:
-        inner = F.lit(0.0)
-        for k in range(len(DOMAINS)):
-            inner = inner + F.get(posteriors, F.lit(k)) * F.get(step, F.lit(k))
-        return F.greatest(F.lit(0.0), value - inner)
-
-    return F.aggregate(taken, F.lit(1.0), move)
+def rate(posteriors: Column, gone: list[float]) -> Column:
+    """The rate after the steps, whose sum over each domain is ``gone``: one less what they took, or zero if below."""
+    value = F.lit(1.0)
+    for k, taken in enumerate(gone):
+        value = value - F.get(posteriors, F.lit(k)) * F.lit(taken)
+    return F.greatest(F.lit(0.0), value)
 
 
 class Fit(NamedTuple):
-    steps: list[list[float]]
+    gone: list[float]
+    steps: int
     wanted: list[float]
     reached: list[float]
 
 
-Sums = Callable[[list[list[float]]], tuple[np.ndarray, np.ndarray]]
-
-
-def _step(
-    sums: Sums, steps: list[list[float]], metric: np.ndarray, residual: np.ndarray, wanted: np.ndarray
-) -> tuple[list[list[float]], np.ndarray, np.ndarray] | None:
-    """One more step in ``metric``, as long as brings the residual down in it, and the sums after it; None if none does."""
-    size, length = residual @ metric @ residual, 1.0
-    while length > SHORTEST:
-        taken = [*steps, [float(x) for x in length * (metric @ residual)]]
-        reached, own = sums(taken)
-        if (reached - wanted) @ metric @ (reached - wanted) < (1 - LESS * length) * size:
-            return taken, reached, own
-        length /= 2
-    return None
-
-
 def fit_rates(posteriors: DataFrame, targets: Mapping[str, float] = TARGETS) -> Fit:
     """Projected-gradient steps for the rows (tokens, p); each length tried costs one aggregate.
 
-    Ends when the targets are met, or when a step hardly brings the residual down: ``missed`` tells how far it is then.
+    Ends when the targets are met, or when they prove out of reach: ``missed`` tells how far it is then.
     """
     k = len(DOMAINS)
     p = [F.get("p", F.lit(i)) for i in range(k)]
     tokens = F.col("tokens").cast("double")
 
-    def sums(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each domain at the rates after ``steps``, and the metric of the rows whose rate is above zero."""
-        rated = posteriors.withColumn("r", rate(F.col("p"), steps))
+    def sums(gone: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+        """At the rates: tokens of each domain, sum of tokens * rate^2, and the Gram matrix of the rows above zero."""
+        rated = posteriors.withColumn("r", rate(F.col("p"), [float(x) for x in gone]))
         own = F.when(F.col("r") > 0, tokens)
         square = [F.sum(own * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)]
-        row = rated.agg(*[F.sum(tokens * F.col("r") * p[i]).alias(f"s{i}") for i in range(k)], *square).first()
+        first = [F.sum(tokens * F.col("r") * p[i]).alias(f"s{i}") for i in range(k)]
+        row = rated.agg(*first, F.sum(tokens * F.col("r") * F.col("r")).alias("rr"), *square).first()
         found = np.array([value or 0.0 for value in row])
-        return found[:k], np.linalg.pinv(found[k:].reshape(k, k), RANK, hermitian=True)
+        return found[:k], float(found[k]), found[k + 1 :].reshape(k, k)
 
-    reached, every = sums([])
+    gone = np.zeros(k)
+    reached, size, gram = sums(gone)
     weights = np.array([targets[name] for name in DOMAINS])
     kept = DOMAINS.index(KEPT_DOMAIN)
     wanted = reached[kept] / weights[kept] * weights  # the kept domain stays as it is
     if not reached.sum():
-        return Fit([], [0.0] * k, [0.0] * k)
-    steps: list[list[float]] = []
+        return Fit([0.0] * k, 0, [0.0] * k, [0.0] * k)
     bound = TOLERANCE * np.maximum(wanted, 1.0)
-    own, best, waited = every, np.inf, 0
-    while (np.abs(reached - wanted) > bound).any():
+    best, nearest, waited, steps = np.inf, (gone, reached), 0, 0
+    while True:
         residual = reached - wanted
-        size = residual @ every @ residual
-        if not size > TOLERANCE**2 * (wanted @ every @ wanted):
-            break  # what is left points where no document does
-        waited = 0 if size < best / 2 else waited + 1
-        best = min(best, size) if waited else size
-        metric = own if waited < PATIENCE else every
-        found = _step(sums, steps, metric, residual, wanted) if metric is not every else None
-        if found is None:  # the plain step, which cannot fail while any step can bring the residual down
-            taken = [*steps, [float(x) for x in every @ residual]]
-            found = taken, *sums(taken)
-            if not (found[1] - wanted) @ every @ (found[1] - wanted) < (1 - STALLED) * size:
+        far = float(np.max(np.abs(residual) / np.maximum(wanted, 1.0)))
+        waited = 0 if far < best / 2 else waited + 1
+        if far < best:
+            best, nearest = far, (gone, reached)
+        if (np.abs(residual) <= bound).all() or waited > PATIENCE:
+            break
+        way = np.linalg.pinv(gram, RANK, hermitian=True) @ residual
+        length, now = 1.0, size / 2 + gone @ wanted
+        while length > SHORTEST:
+            ahead = gone + length * way
+            found = sums(ahead)
+            if found[1] / 2 + ahead @ wanted <= now - LESS * length * (residual @ way):
                 break
-        steps, reached, own = found
-    return Fit(steps, [float(x) for x in wanted], [float(x) for x in reached])
+            length /= 2
+        else:
+            break  # what is left points where no document does
+        gone, steps = ahead, steps + 1
+        reached, size, gram = found
+    gone, reached = nearest
+    return Fit([float(x) for x in gone], steps, [float(x) for x in wanted], [float(x) for x in reached])
 
 
 def missed(wanted: list[float], reached: list[float]) -> float:
@@ -317,7 +299,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) ->
     own = only(docs, "doc_id", "text").withColumn("digest", text_digest(F.col("text")))
     read = with_posteriors(own, F.col("text"), model)
     table = stored(read.select("doc_id", "digest", F.col("_mix_tokens").alias("tokens"), F.col("_mix_p").alias("p")), "posteriors")
-    fit = fit_rates(table, targets) if model else Fit([], [math.nan] * len(DOMAINS), [math.nan] * len(DOMAINS))
+    fit = fit_rates(table, targets) if model else Fit([0.0] * len(DOMAINS), 0, [math.nan] * len(DOMAINS), [math.nan] * len(DOMAINS))
     return table, model, fit
 
 
@@ -327,7 +309,7 @@ def _drawn(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) ->
     A fit that stalls before its targets is reported.
     """
     table, model, fit = _fitted(docs, labels, targets)
-    rated = table.withColumn("rate", rate(F.col("p"), fit.steps))
+    rated = table.withColumn("rate", rate(F.col("p"), fit.gone))
     drawn = stored(rated.withColumn("copies", copies(F.col("rate"), F.col("p"), F.col("doc_id"), F.col("digest"))), "mix_copies")
     if model is None:
         return drawn, math.nan, math.nan
