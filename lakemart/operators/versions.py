@@ -5,9 +5,9 @@ A change log holds every version of every row with its ``_commit_time``, a text
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,50 +42,103 @@ def reconcile_schema(df: DataFrame, target: StructType) -> DataFrame:
     return df.select(*known, *[name for name in df.columns if name not in names])
 
 
-def upsert(current: DataFrame, incoming: DataFrame, key: str, ordering: str) -> DataFrame:
+def upsert(current: DataFrame, incoming: DataFrame, key: str, ordering: str, *, sift: bool = False) -> DataFrame:
     """``current`` with ``incoming`` merged by key: new keys inserted, newer versions replace older ones.
 
     On equal ordering values the incoming row wins. ``current`` holds every key once, over the whole
-    table; Catalyst does not shuffle it while ``incoming`` is within the broadcast threshold.
+    table; Catalyst does not shuffle it while ``incoming`` is within the broadcast threshold. Beyond that,
+    ``sift`` keeps the rows of ``current`` whose keys surely do not change out of the shuffle.
     """
     rows = reconcile_schema(incoming, current.schema)
     table = reconcile_schema(current, rows.schema)
-    return _lay_over(table, newest_in_batch(rows, key, ordering), key, ordering)
+    return _lay_over(table, newest_in_batch(rows, key, ordering), [key], ordering, sift=sift)
 
 
-def _lay_over(base: DataFrame, newest: DataFrame, key: str, ordering: str) -> DataFrame:
+# A sieve of keys: words of 64 bits, of which a key sets BITS_SET in one. The words fit a broadcast.
+MOST_WORDS = 1 << 20  # 16 MB of numbers at most; a change of more than some 16 million keys passes nearly all
+BITS_SET = 3
+
+
+def _word_and_bits(key: Sequence[str]) -> tuple[Column, Column]:
+    place = F.pmod(F.xxhash64(F.lit("word"), *key), F.lit(MOST_WORDS)).cast("int")
+    draw = F.xxhash64(F.lit("bits"), *key)
+    bits = F.lit(0).cast("long")
+    for turn in range(BITS_SET):
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(draw, 6 * turn).bitwiseAND(63).cast("int"))
+        bits = bits.bitwiseOR(one)
+    return place, bits
+
+
+def sifted(rows: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_maybe``: false only for rows whose key is surely not in ``keys``, NULL keys included.
+
+    A Bloom filter of ``keys``, one word a key: it is at most ``MOST_WORDS`` rows at any size of ``keys``, so its
+    broadcast is bounded, and ``rows`` stay where they are.
+    """
+    place, bits = _word_and_bits(key)
+    words = keys.select(place.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    own = rows.withColumn("_place", place).withColumn("_own", bits)
+    met = own.join(F.broadcast(words), F.col("_place") == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(F.col("_own")) == F.col("_own"), F.lit(False))
+    return met.withColumn("_maybe", maybe).drop("_place", "_own", "_word", "_bits")
+
+
+def _lay_over(
+    base: DataFrame, newest: DataFrame, key: Sequence[str], ordering: str, *, sift: bool = False
+) -> DataFrame:
     """``base`` with the rows of ``newest`` in place of its own where they are not older, and the new keys.
 
     Both hold every key once and have the same columns. ``base`` is read once for its rows and once
-    for the keys that are known; how the joins run is left to Catalyst.
+    for the keys that are known; how the joins run is left to Catalyst. The columns of the key stay those of
+    ``base``, so a filter on them reaches its scan.
     """
-    change = newest.select(F.col(key).alias("_key"), F.struct(*newest.columns).alias("_new"))
-    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    if sift:
+        marked = sifted(base, newest, key)
+        beside = marked.where(~F.col("_maybe")).drop("_maybe")
+        near = marked.where("_maybe").drop("_maybe")
+        return beside.unionByName(_lay_over(near, newest, key, ordering))
+    theirs = [F.col(name).alias(f"_key{i}") for i, name in enumerate(key)]
+    change = newest.select(*theirs, F.struct(*newest.columns).alias("_new"))
+    same_key = F.lit(True)
+    for i, name in enumerate(key):
+        same_key = same_key & F.col(name).eqNullSafe(F.col(f"_key{i}"))
     # Orderings compare with NULL last; on equal ones the row of the change wins.
     newer = F.coalesce(F.col(f"_new.{ordering}") >= F.col(ordering), F.col(ordering).isNull())
-    winner = F.when(F.col("_new").isNotNull() & newer, F.col("_new")).otherwise(F.struct(*newest.columns))
-    current = base.join(change, same_key, "left").select(winner.alias("_row")).select("_row.*")
+    wins = F.col("_new").isNotNull() & newer
+    columns = [
+        F.col(name) if name in key else F.when(wins, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name)
+        for name in newest.columns
+    ]
+    current = base.join(change, same_key, "left").select(*columns)
 
     # No more rows than the change has.
-    known = base.select(key).join(change.select("_key"), same_key, "left_semi").withColumnRenamed(key, "_key")
+    keys = change.select(*[f"_key{i}" for i in range(len(key))])
+    known = base.select(*key).join(keys, same_key, "left_semi").select(*theirs)
     return current.unionByName(newest.join(known, same_key, "left_anti"))
 
 
-def as_of(log: DataFrame, key: str, ordering: str, commit_time: str | None = None) -> DataFrame:
+def as_of(log: DataFrame, key: str | Sequence[str], ordering: str, commit_time: str | None = None) -> DataFrame:
     """The state of the table after ``commit_time`` (the latest commit by default).
 
     The commit filter prunes folders of the log. Equal ordering values: the later commit wins.
     """
     visible = log if commit_time is None else log.where(F.col(COMMIT) <= commit_time)
-    return latest_per_key(visible, key, [ordering, COMMIT])
+    return latest_per_key(visible, key, _by_commit(log, ordering))
+
+
+def _by_commit(log: DataFrame, ordering: str) -> list[str | Column]:
+    """Newest first. Within a commit a row goes before a deletion: that is where its key came from."""
+    deleted = [F.asc_nulls_first(DELETED)] if DELETED in log.columns else []
+    return [ordering, *([] if ordering == COMMIT else [COMMIT]), *deleted]
 
 
-def overlay(base: DataFrame, later: DataFrame, key: str, ordering: str) -> DataFrame:
+def overlay(base: DataFrame, later: DataFrame, key: str | Sequence[str], ordering: str, *, sift: bool = False) -> DataFrame:
     """The state after the commits of ``later``, on top of ``base``, which holds every key once.
 
     The result is that of ``as_of`` over both.
     """
-    return _lay_over(base, as_of(later, key, ordering), key, ordering)
+    keys = [key] if isinstance(key, str) else list(key)
+    return _lay_over(base, as_of(later, keys, ordering), keys, ordering, sift=sift)
 
 
 def snapshot(log: DataFrame, key: str, ordering: str, *, deleted: str = DELETED) -> DataFrame:
@@ -143,7 +196,7 @@ def changes_since(log: DataFrame, key: str, ordering: str, commit_time: str) ->
     Only the folders of later commits are read. Merging the result with ``upsert`` brings an older
     copy of the table to the latest state.
     """
-    return latest_per_key(log.where(F.col(COMMIT) > commit_time), key, [ordering, COMMIT])
+    return latest_per_key(log.where(F.col(COMMIT) > commit_time), key, _by_commit(log, ordering))
 
 
 def version_diff(before: DataFrame, after: DataFrame, key: str, columns: Iterable[str]) -> DataFrame:

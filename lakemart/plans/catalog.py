@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.contracts import CONTRACTS
 from lakemart.operators import checks, dedupe, ranking, versions
-from lakemart.plans import bronze, build, extended, gold, quality, refresh, reports, silver
+from lakemart.plans import bronze, build, deltas, extended, gold, quality, refresh, reports, silver
 from lakemart.session import new_table_path, stored
 from lakemart.sources import adapters, change_log, files
 
@@ -568,9 +568,10 @@ def change_log_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         "order_item_key", "order_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"
     )
     early = F.col("shipping_limit_date") < "1998-01-01"
-    change_log.overwrite_log(items.where(early), path, contract, "20240101000000000")
+    items = items.withColumn("dt", F.to_date("shipping_limit_date"))
+    change_log.overwrite_log(items.where(early), path, contract, "20240101000000000", by_month=True)
     change_log.append_commit(items.where(~early), path, contract, "20240102000000000")
-    return change_log.read_table(spark, path, contract, table_format="log")
+    return change_log.read_table(spark, path, contract, table_format="log").drop("dt")
 
 
 def _two_loads(spark: SparkSession, folder: str, table_format: str) -> DataFrame:
@@ -659,3 +660,60 @@ def refresh_after_delete(spark: SparkSession, folder: str) -> DataFrame:
     columns = ("gold_key", "order_count", "item_count", value)
     paid = F.col("payment_value").cast("decimal(32,2)").alias("payment_value")
     return daily.select(*columns, paid).unionByName(category.select(*columns), allowMissingColumns=True)
+
+
+def _log_tables(spark: SparkSession, root: str, bronze_tables: dict[str, DataFrame]) -> None:
+    """Bronze tables as the first commit of versioned ones, and silver and the marts derived from them."""
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        contract = CONTRACTS[name]
+        change_log.overwrite_log(df, build.table_path(root, contract), contract, "1", by_month=True)
+        return build.open_table(spark, root, name, "log").drop(versions.COMMIT)
+
+    build.derive({name: keep(name, df) for name, df in bronze_tables.items()}, keep=keep)
+
+
+@query
+def refresh_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The three marts after a delta load of orders, items and payments, refreshed in one call.
+
+    A quarter of the orders is new in the second load and another quarter moves from an earlier day; a fifth of the
+    items and payments is new, and a fifth of the items had another price. What is left equals the marts of all rows.
+    """
+    root = new_table_path(spark, "refresh-all")
+    tables = {f"{name}_bronze": Tables(spark, folder).bronze(name) for name in build.RAW_FILES}
+    orders, items, payments = (stored(tables[f"{n}_bronze"], n) for n in ("orders", "order_items", "payments"))
+    quarter, fifth = (lambda c: F.crc32(F.col(c).cast("binary")) % 4), (lambda c: F.crc32(F.col(c).cast("binary")) % 5)
+    earlier = F.col("order_purchase_timestamp") - F.expr("INTERVAL 40 DAYS")
+    moved = F.when(quarter("order_id") == 1, earlier).otherwise(F.col("order_purchase_timestamp"))
+    first = orders.where(quarter("order_id") != 0).withColumn("order_purchase_timestamp", moved)
+    price = F.when(fifth("order_item_key") == 1, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(12,2)")
+    seed = {
+        "orders_bronze": first.withColumn("dt", F.to_date("order_purchase_timestamp")),
+        "order_items_bronze": items.where(fifth("order_item_key") != 0).withColumn("price", price),
+        "payments_bronze": payments.where(fifth("payment_key") != 0),
+    }
+    _log_tables(spark, root, tables | seed)
+    deltas.start_ranking(spark, root)
+    load = {
+        "orders_bronze": orders.where(quarter("order_id") <= 1),
+        "order_items_bronze": items.where(fifth("order_item_key") <= 1),
+        "payments_bronze": payments.where(fifth("payment_key") == 0),
+    }
+    for name, rows in load.items():
+        contract = CONTRACTS[name]
+        change_log.append_commit(rows, build.table_path(root, contract), contract, "2")
+    deltas.refresh_all(spark, root, since="1", commit_time="2")
+
+    value = F.col("gross_item_value").cast("decimal(32,2)").alias("value")
+    daily = build.open_table(spark, root, "daily_sales_gold", "log").select(
+        F.lit("daily").alias("mart"), "gold_key", "order_count", "item_count", value, F.col("avg_order_payment_value").alias("average")
+    )
+    category = build.open_table(spark, root, "category_sales_gold", "log").select(
+        F.lit("category").alias("mart"), "gold_key", "order_count", "item_count", value
+    )
+    customers = deltas.ranked_customers(spark, root).select(
+        F.lit("customer").alias("mart"), F.col("customer_id").alias("gold_key"), "order_count",
+        F.col("ltv_rank").cast("long").alias("item_count"), F.col("lifetime_value").cast("decimal(32,2)").alias("value"),
+    )
+    return daily.unionByName(category, allowMissingColumns=True).unionByName(customers, allowMissingColumns=True)

@@ -758,6 +758,14 @@ _STATEMENTS = {
     "partition_overwrite": """
         SELECT order_id, CASE WHEN order_status = 'f' THEN 'changed' ELSE customer_id END AS customer_id, order_status
         FROM s_orders""",
+    "refresh_all": """
+        SELECT 'daily' AS mart, gold_key, order_count, item_count, CAST(gross_item_value AS DECIMAL(32,2)) AS value,
+               avg_order_payment_value AS average FROM g_daily
+        UNION ALL
+        SELECT 'category', gold_key, order_count, item_count, CAST(gross_item_value AS DECIMAL(32,2)), NULL FROM g_category
+        UNION ALL
+        SELECT 'customer', customer_id, order_count, CAST(ltv_rank AS BIGINT), CAST(lifetime_value AS DECIMAL(32,2)), NULL
+        FROM g_ltv""",
     "change_log_round_trip": """
         SELECT order_item_key, order_id, product_id, seller_id, shipping_limit_date, price, freight_value,
                CASE WHEN shipping_limit_date < TIMESTAMP '1998-01-01' THEN '20240101000000000'
