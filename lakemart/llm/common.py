@@ -43,6 +43,16 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
+def flat_text(column: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The UTF-8 bytes of all texts in one buffer, without a copy, and the size of each; null counts as empty."""
+    whole = column.fill_null("") if column.null_count else column
+    _, offsets, content = whole.buffers()
+    wide = np.int64 if pa.types.is_large_string(whole.type) else np.int32
+    ends = np.zeros(1, dtype=wide) if offsets is None else np.frombuffer(offsets, dtype=wide)[whole.offset : whole.offset + len(whole) + 1]
+    first, last = (int(ends[0]), int(ends[-1])) if len(ends) else (0, 0)
+    return (content or pa.py_buffer(b"")).slice(first, last - first), np.diff(ends).astype(np.int64)
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, also where other columns differ from them in case only."""
     places = [df.columns.index(name) for name in names]
@@ -82,7 +92,7 @@ def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def by_size(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """``batch`` cut so that the texts of a part have at most ``size`` bytes, or it is a single row."""
-    ends = np.cumsum(np.array([len(text) for text in text_bytes(batch.column(column))], dtype=np.int64))
+    ends = np.cumsum(flat_text(batch.column(column))[1])
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
@@ -109,9 +119,7 @@ def cut(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     letters is cut, and no run of white space but at its start or before its last space. Null counts as empty,
     and an empty text has no piece.
     """
-    found = text_bytes(column)
-    sizes = np.array([len(text) for text in found], dtype=np.int64)
-    content = b"".join(found)
+    content, sizes = flat_text(column)
     flat = _kinds()[np.frombuffer(content, dtype=np.uint8)]
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
     starts = np.zeros(len(flat) + 1, dtype=bool)
@@ -123,7 +131,7 @@ def cut(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     bounds = np.flatnonzero(starts)
     per_text = np.searchsorted(bounds, np.cumsum(sizes)) - np.searchsorted(bounds, np.cumsum(sizes) - sizes)
     offsets = pa.py_buffer(bounds.astype(np.int64))
-    pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, offsets, pa.py_buffer(content)).dictionary_encode()
+    pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, offsets, content).dictionary_encode()
     return pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy(), per_text
 
 

@@ -39,7 +39,7 @@ HEADER = struct.Struct("<4sIIQII")  # magic, range number, documents, ranks, con
 BLOCK_TOKENS = 1 << 20  # a block is closed when it has so many
 CACHE = 450_000  # pieces of a generation; a worker remembers two, and forgets the older one for a new one
 PIECES_AT_ONCE = 10_000  # the tokenizer is given
-BYTES_AT_ONCE = 4 << 20  # of text encoded together
+BYTES_AT_ONCE = 8 << 20  # of text encoded together
 TEXTS_AT_ONCE = 1024
 
 LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # all of these are letters
@@ -130,17 +130,26 @@ def tokens(docs: DataFrame, file: str, end_id: int = END_ID) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
+def _flat_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all documents one after the other, without a copy, and how many each has."""
+    _, offsets, content = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    if not len(ends) or content is None:
+        return np.zeros(0, dtype=np.uint32), np.zeros(len(column), dtype=np.int64)
+    ids = np.frombuffer(content, dtype=np.uint8)[int(ends[0]) : int(ends[-1])].view("<u4")
+    return ids, np.diff(ends).astype(np.int64) // 4
+
+
 def frequencies(encoded: DataFrame) -> DataFrame:
     """id and n, counted in each task before the counts are added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                counts = np.bincount(np.frombuffer(ids.as_buffer(), dtype="<u4"))
-                if len(counts) > len(total):
-                    total, counts = counts, total
-                total[: len(counts)] += counts
+            counts = np.bincount(_flat_ids(batch.column(0))[0])
+            if len(counts) > len(total):
+                total, counts = counts, total
+            total[: len(counts)] += counts
         ids = np.flatnonzero(total)
         yield pa.record_batch([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
@@ -157,19 +166,30 @@ def ranked_ids(counts: DataFrame) -> np.ndarray:
 LENGTHS = 1 + ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64)
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of the ranks."""
+def slots(counts: np.ndarray) -> np.ndarray:
+    """For documents of so many ranks: which of their slots hold one; the slots are filled up to fours."""
+    wide = -(-counts // 4) * 4
+    ends = np.cumsum(wide)
+    within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - wide, wide)
+    return within < np.repeat(counts, wide)
+
+
+def pack(ranks: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray, bytes, np.ndarray]:
+    """Control and data bytes of the ranks of several documents, and how many of each belong to each document."""
     size = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    padded[: len(ranks)] = size - 1
+    held = slots(counts)
+    padded = np.zeros(len(held), dtype=np.uint8)
+    padded[held] = size - 1
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1).astype(np.uint8)
-    kept = np.arange(4) < size[:, None]
-    return control.tobytes(), ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
+    reached = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    ends = np.cumsum(counts)
+    return control.tobytes(), -(-counts // 4), data.tobytes(), reached[ends] - reached[ends - counts]
 
 
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks of the control and data bytes."""
-    size = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:n]
+def unpack(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The ranks of the control and data bytes of documents that have so many each."""
+    size = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[slots(counts)]
     start = np.cumsum(size) - size
     padded = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
     ranks = padded[start].astype(np.uint32)
@@ -189,21 +209,22 @@ def range_bounds(encoded: DataFrame, ranges: int) -> np.ndarray:
     return np.array(found, dtype=np.int64)
 
 
+def _pieces(content: bytes, sizes: np.ndarray) -> pa.Array:
+    """``content`` cut into runs of the sizes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(content)])
+
+
 def _coded(encoded: DataFrame, ids: np.ndarray, bounds: np.ndarray) -> DataFrame:
     """doc_id, n, and the control and data bytes of every document, and the number of its range."""
     rank = np.zeros(int(ids.max()) + 1 if len(ids) else 1, dtype=np.uint32)
     rank[ids] = np.arange(len(ids), dtype=np.uint32)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, controls, datas = [], [], []
-        for value in batch.column(1):
-            ranks = rank[np.frombuffer(value.as_buffer(), dtype="<u4")]
-            control, data = pack(ranks)
-            sizes.append(len(ranks))
-            controls.append(control)
-            datas.append(data)
+        flat, counts = _flat_ids(batch.column(1))
+        control, wide, data, long = pack(rank[flat], counts)
         piece = np.searchsorted(bounds, batch.column(0).fill_null(-(1 << 63)).to_numpy(), "right")
-        columns = [pa.array(sizes, pa.int64()), pa.array(controls, pa.binary()), pa.array(datas, pa.binary())]
+        columns = [pa.array(counts), _pieces(control, wide), _pieces(data, long)]
         columns = [batch.column(0), *columns, pa.array(piece, pa.int32())]
         return pa.record_batch(columns, names=["doc_id", "n", "control", "data", "piece"])
 
@@ -275,13 +296,13 @@ def documents_of(content: memoryview, ids: np.ndarray) -> Iterator[tuple[int, in
     """Range number, doc_id, number of ids before it in the file, and ids of every document of a file."""
     before = 0
     for piece, doc_ids, counts, control, data in read_blocks(content):
-        at_control = at_data = 0
-        for doc_id, n in zip(doc_ids, counts.tolist(), strict=True):
-            wide = -(-n // 4)
-            part = control[at_control : at_control + wide]
-            size = int(LENGTHS[np.frombuffer(part, dtype=np.uint8)].ravel()[:n].sum())
-            yield piece, doc_id, before, ids[unpack(part, data[at_data : at_data + size], n)]
-            at_control, at_data, before = at_control + wide, at_data + size, before + n
+        made = ids[unpack(control, data, counts)]
+        ends = np.cumsum(counts).tolist()
+        at = 0
+        for doc_id, end in zip(doc_ids, ends, strict=True):
+            yield piece, doc_id, before + at, made[at:end]
+            at = end
+        before += at
 
 
 def read_files(spark: SparkSession, path: str, ids: np.ndarray) -> DataFrame:
@@ -291,7 +312,7 @@ def read_files(spark: SparkSession, path: str, ids: np.ndarray) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 found = [
-                    (piece, doc_id, before, len(made), zlib.crc32(made.astype("<u4").tobytes()))
+                    (piece, doc_id, before, len(made), zlib.crc32(np.ascontiguousarray(made, dtype="<u4")))
                     for piece, doc_id, before, made in documents_of(memoryview(content.as_buffer()), ids)
                 ]
                 columns = [pa.array(column, pa.int64()) for column in zip(*found, strict=True)]

@@ -83,7 +83,11 @@ def test_token_files(docs):
 
 def test_codes_round_trip():
     ranks = np.array([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1], dtype=np.uint32)
-    assert (token_files.unpack(*token_files.pack(ranks), len(ranks)) == ranks).all()
+    for counts in ([len(ranks)], [0, 3, len(ranks) - 3, 0], [1, 4, len(ranks) - 5]):
+        counts = np.array(counts)
+        control, wide, data, long = token_files.pack(ranks, counts)
+        assert wide.sum() == len(control) and long.sum() == len(data)
+        assert (token_files.unpack(control, data, counts) == ranks).all()
 
 
 def test_shards_move_into_the_new_one_only(docs):
