@@ -31,8 +31,8 @@ RULES = (
     ("block", "net/fr/"),
 )
 DAMPING = 0.85  # share of a score that moves along links
-ROUNDS = 30  # steps at most
-TOLERANCE = 1e-4  # change of all scores together at which the steps end
+SETTLED = 0.01  # of the share of a single page: what all scores together may still move when the steps end
+MOST_ROUNDS = 1000  # steps after which an error is raised; each leaves at most DAMPING of the distance
 DISTRUST = 1.0  # distrust over page share from which a host is blocked, if it is not trusted more
 
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
@@ -112,7 +112,8 @@ def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
     )
     scores = stored(start.withColumns({"trust": F.col("t0"), "distrust": F.col("d0")}), "host_scores")
     seeded = (bool(whole["allowed"]), bool(whole["blocked"]))
-    for _ in range(ROUNDS):
+    near = SETTLED / (whole["pages"] or 1)  # no host with pages has a smaller share than one page
+    for _ in range(MOST_ROUNDS):
         sent = moves.join(scores.select("host", "trust", "distrust"), F.col("start") == F.col("host")).groupBy(F.col("end").alias("at")).agg(
             F.sum(F.col("t") * F.col("trust")).alias("t"), F.sum(F.col("d") * F.col("distrust")).alias("d")
         )
@@ -134,9 +135,12 @@ def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
         )
         change = after.agg(F.sum(F.abs(F.col("trust") - F.col("t1")) + F.abs(F.col("distrust") - F.col("d1")))).first()[0]
         scores = after.drop("t1", "d1")
-        if (change or 0.0) < TOLERANCE:
+        # The steps to come move DAMPING, DAMPING^2, ... of this one's change at most.
+        if (change or 0.0) * DAMPING / (1 - DAMPING) <= near:
             break
         scores = stored(scores, "host_scores")
+    else:
+        raise RuntimeError(f"the scores did not settle in {MOST_ROUNDS} steps: the last one moved {change}")
     return scores.select("host", "share", "trust", "distrust")
 
 

@@ -40,7 +40,8 @@ HELD_OUT = 2  # the fold that nothing is learned from
 TUNING = 3  # the training fold on which the mixture weights are learned
 BLOCK_WORDS = 1_000_000
 BUCKETS = 24  # contexts seen 0, 1, 2-3, 4-7, ... times
-ROUNDS = 12  # of expectation-maximisation
+SETTLED = 1e-5  # gain in the log probability of a tuning token at which expectation-maximisation ends
+MOST_ROUNDS = 500  # after which it ends with an error
 LEAST_WEIGHT = 1e-6
 START = np.array([0.3, 0.5, 0.2])  # weights of pair, word and even share before learning
 END = np.uint64(xxhash.xxh64_intdigest(b"\0 end of text", 1))  # stands before the first word as well
@@ -245,8 +246,8 @@ def _tuning_events(returned: DataFrame, tokens: int, vocabulary: int) -> DataFra
     return returned.mapInArrow(run, "bucket binary, times binary, pair binary, word binary")
 
 
-def learn_weights(events: DataFrame, vocabulary: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Mixture weights per bucket; each round is one pass over the stored events.
+def learn_weights(events: DataFrame, vocabulary: int) -> np.ndarray:
+    """Mixture weights per bucket; each round is one pass over the stored events, until they hardly gain.
 
     A bucket without events takes the weights of all events together.
     """
@@ -255,31 +256,37 @@ def learn_weights(events: DataFrame, vocabulary: int, rounds: int = ROUNDS) -> n
 
     def shares(weights: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((BUCKETS, 3))
+            total = np.zeros((BUCKETS, 4))
             for row in _rows(batches):
                 bucket, times = grown(row["bucket"], "u1"), grown(row["times"], "u4")
                 parts = np.stack([grown(row["pair"], "f8"), grown(row["word"], "f8"), np.full(len(times), even)], axis=1)
                 parts = parts * weights[bucket]
-                parts *= (times / parts.sum(axis=1))[:, None]
+                whole = parts.sum(axis=1)
+                total[:, 3] += np.bincount(bucket, weights=times * np.log(whole), minlength=BUCKETS)
+                parts *= (times / whole)[:, None]
                 for i in range(3):
                     total[:, i] += np.bincount(bucket, weights=parts[:, i], minlength=BUCKETS)
-            columns = [pa.array(np.arange(BUCKETS)), *[pa.array(total[:, i]) for i in range(3)]]
-            yield pa.record_batch(columns, names=["bucket", "pair", "word", "even"])
+            columns = [pa.array(np.arange(BUCKETS)), *[pa.array(total[:, i]) for i in range(4)]]
+            yield pa.record_batch(columns, names=["bucket", "pair", "word", "even", "log"])
 
         return run
 
-    for _ in range(rounds):
-        summed = events.mapInArrow(shares(weights), "bucket long, pair double, word double, even double")
-        found = summed.groupBy("bucket").agg(F.sum("pair"), F.sum("word"), F.sum("even")).collect()  # BUCKETS rows
-        total = np.zeros((BUCKETS, 3))
+    before = -np.inf
+    for _ in range(MOST_ROUNDS):
+        summed = events.mapInArrow(shares(weights), "bucket long, pair double, word double, even double, log double")
+        found = summed.groupBy("bucket").agg(F.sum("pair"), F.sum("word"), F.sum("even"), F.sum("log")).collect()  # BUCKETS rows
+        total, reached = np.zeros((BUCKETS, 3)), 0.0
         for row in found:
-            total[row[0]] = row[1:]
+            total[row[0]], reached = row[1:4], reached + row[4]
         if not total.sum():
             return weights
+        if (reached - before) / total.sum() < SETTLED:
+            return weights
+        before = reached
         total = np.where(total.sum(axis=1, keepdims=True) > 0, total, total.sum(axis=0))
         weights = np.maximum(total / total.sum(axis=1, keepdims=True), LEAST_WEIGHT)
         weights /= weights.sum(axis=1, keepdims=True)
-    return weights
+    raise RuntimeError(f"the weights did not settle in {MOST_ROUNDS} rounds")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
