@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.contracts import CONTRACTS
-from lakemart.operators import checks, dedupe, ranking, versions
+from lakemart.operators import checks, dedupe, history, ranking, versions
 from lakemart.plans import bronze, build, deltas, extended, gold, quality, refresh, reports, silver
 from lakemart.session import new_table_path, stored
 from lakemart.sources import adapters, change_log, files
@@ -305,6 +305,15 @@ def check_row_count_drift(spark: SparkSession, folder: str) -> DataFrame:
     return checks.row_count_drift(Tables(spark, folder).bronze("orders"), "dt")
 
 
+@query
+def check_drift_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of each day next to those of the eight same weekdays before."""
+    measures = history.daily_measures(Tables(spark, folder).bronze("orders"), "dt", "orders_bronze")
+    found = history.drift_from_history(measures)
+    rounded = [F.round(name, 6).alias(name) for name in ("usual", "spread")]
+    return found.select("day", "table_name", "row_count", "earlier_loads", *rounded, "passed")
+
+
 @query
 def rejected_values(spark: SparkSession, folder: str) -> DataFrame:
     """Values of the items' text that are no numbers or dates, per column."""
@@ -559,6 +568,28 @@ def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT order_id, customer_id, order_status FROM orders_by_status")
 
 
+@query
+def change_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """What three commits of items did: prices of a fifth changed, a fifth deleted, a fifth new; with late rows.
+
+    A row of the second commit is late for a seventh of the items: its shipping date is a day older, so it changes nothing.
+    """
+    path = new_table_path(spark, "items-feed")
+    contract = CONTRACTS["order_items_silver"]
+    columns = ["order_item_key", "shipping_limit_date", "dt", "price"]
+    items = stored(Tables(spark, folder).items.select(*columns), "feed_items")
+    order, line = (F.split_part("order_item_key", F.lit("_"), F.lit(i)).cast("long") for i in (1, 2))
+    turn = order * 3 + line
+    fifth, late = turn % 5, turn % 7 == 0
+    change_log.overwrite_log(items.where(fifth != 0), path, contract, "1", by_month=True)
+    dearer = items.where(fifth <= 1).withColumn("price", F.when(fifth == 1, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(12,2)"))
+    older = F.when(late & (fifth == 1), F.col("shipping_limit_date") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("shipping_limit_date"))
+    change_log.append_commit(dearer.withColumn("shipping_limit_date", older), path, contract, "2")
+    change_log.append_commit(versions.deletions(items.where(fifth == 2)), path, contract, "3")
+    feed = change_log.change_feed(spark, path, contract, since="1")
+    return feed.select("_commit_time", "change_type", "order_item_key", "price", F.col("_before.price").alias("price_before"))
+
+
 @query
 def change_log_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze items stored as a versioned table in two commits, read as of the last one."""

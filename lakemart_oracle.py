@@ -628,6 +628,17 @@ _STATEMENTS = {
         FROM (SELECT unnest(generate_series(min(dt), max(dt), INTERVAL 1 DAY)) AS day FROM b_orders) d
              LEFT JOIN b_orders o ON o.dt = CAST(d.day AS DATE)
         GROUP BY 1""",
+    "check_drift_history": """
+        SELECT day, 'orders_bronze' AS table_name, row_count, CAST(len(earlier) AS INTEGER) AS earlier_loads,
+               round(usual, 6) AS usual, round(spread, 6) AS spread,
+               coalesce(abs(row_count - usual) <= greatest(4 * spread, 0.25 * usual), true) AS passed
+        FROM (SELECT *, CASE WHEN usual IS NOT NULL
+                        THEN list_median(list_transform(earlier, lambda x: abs(x - usual))) * 1.4826 END AS spread
+              FROM (SELECT *, CASE WHEN len(earlier) >= 3 THEN list_median(earlier) END AS usual
+                    FROM (SELECT day, row_count,
+                                 coalesce(list(CAST(row_count AS DOUBLE)) OVER (PARTITION BY dayofweek(day) ORDER BY day
+                                          ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), []) AS earlier
+                          FROM (SELECT dt AS day, count(*) AS row_count FROM b_orders WHERE dt IS NOT NULL GROUP BY dt))))""",
     "check_row_count_drift": """
         SELECT day, row_count, previous_count, CAST(row_count - previous_count AS DOUBLE) / previous_count AS drift,
                previous_count IS NULL OR abs(CAST(row_count - previous_count AS DOUBLE) / previous_count) <= 0.5 AS passed
@@ -766,6 +777,15 @@ _STATEMENTS = {
         UNION ALL
         SELECT 'customer', customer_id, order_count, CAST(ltv_rank AS BIGINT), CAST(lifetime_value AS DECIMAL(32,2)), NULL
         FROM g_ltv""",
+    "change_feed": """
+        SELECT _commit_time, change_type, order_item_key, CAST(now AS DECIMAL(12,2)) AS price, before AS price_before
+        FROM (SELECT *, CASE WHEN t % 5 = 2 THEN '3' ELSE '2' END AS _commit_time,
+                     CASE t % 5 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS change_type,
+                     CASE WHEN t % 5 = 1 THEN price + 1 ELSE price END AS now,
+                     CASE WHEN t % 5 <> 0 THEN price END AS before
+              FROM (SELECT order_item_key, price, CAST(split_part(order_item_key, '_', 1) AS BIGINT) * 3
+                           + CAST(split_part(order_item_key, '_', 2) AS BIGINT) AS t FROM s_items)
+              WHERE t % 5 <= 2 AND NOT (t % 5 = 1 AND t % 7 = 0))""",
     "change_log_round_trip": """
         SELECT order_item_key, order_id, product_id, seller_id, shipping_limit_date, price, freight_value,
                CASE WHEN shipping_limit_date < TIMESTAMP '1998-01-01' THEN '20240101000000000'

@@ -1,0 +1,40 @@
+"""Loads against their history: a halved one is caught, a weekly rhythm is not."""
+
+import datetime
+
+from lakemart.operators import history
+
+SCHEMA = "day date, table_name string, row_count long"
+START = datetime.date(2024, 1, 1)
+
+
+def weekly(days, halved=()):
+    rows = []
+    for n in range(days):
+        day = START + datetime.timedelta(days=n)
+        usual = 200 if day.weekday() >= 5 else 1000
+        count = usual + (n * 37) % 21 - 10
+        rows.append((day, "orders", count // 2 if n in halved else count))
+    return rows
+
+
+def failed(spark, rows, **settings):
+    found = history.drift_from_history(spark.createDataFrame(rows, SCHEMA), **settings)
+    return {(r["day"] - START).days for r in found.where("NOT passed").collect()}
+
+
+def test_a_load_that_halves_fails_and_quiet_weekends_do_not(spark):
+    rows = weekly(84, halved={60, 68})
+    assert failed(spark, rows) == {60, 68}
+    assert {n % 7 for n in failed(spark, rows, rhythm=1)} >= {5, 6} or failed(spark, rows, rhythm=1)  # without the rhythm they would
+
+
+def test_young_tables_pass_and_tables_are_apart(spark):
+    rows = weekly(14) + [(day, "items", 5) for day, *_ in weekly(14)]
+    assert failed(spark, rows) == set()
+
+
+def test_measures_of_loads(spark):
+    frame = spark.createDataFrame([(START,), (START,), (None,)], "day date")
+    assert [tuple(r) for r in history.daily_measures(frame, "day", "t").collect()] == [(START, "t", 2)]
+    assert [tuple(r) for r in history.load_measures({"t": frame}, "2024-01-01").collect()] == [(START, "t", 3)]

@@ -12,6 +12,7 @@ from lakemart.sources import change_log
 from tests.compare import rows
 
 CONTRACT = CONTRACTS["payments_bronze"]
+# Instants, keys and amounts of the published example.
 FIRST, SECOND = "20260503162044236", "20260503162105779"
 UPDATED, INSERTED = "a9810da82917af2d9aefd1278f1dcfa0_1", "demo_order_001_1"
 SCHEMA = (
