@@ -286,12 +286,13 @@ def copies(rate_: Column, posteriors: Column, doc_id: Column, digest: Column) ->
     """Copies of a document: the whole part of its rate, and one more with the chance of the rest.
 
     The draw follows from the doc_id and the digest of the text, so that rows without a doc_id have draws of
-    their own. Documents that are more likely in the kept domain than not stay.
+    their own. Documents that are more likely in the kept domain than not stay, once: the tokens of that domain are to
+    stay as they are, and copies of some of them beside all the others would add to these.
     """
     draw = F.pmod(F.xxhash64(doc_id, digest, F.lit("copy")), F.lit(1 << 30)) / float(1 << 30)
     drawn = F.floor(rate_) + (draw < rate_ - F.floor(rate_)).cast("long")
     sure = F.get(posteriors, F.lit(DOMAINS.index(KEPT_DOMAIN))) > 0.5
-    return F.greatest(drawn, sure.cast("long")).cast("int")
+    return F.when(sure, 1).otherwise(drawn).cast("int")
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) -> tuple[DataFrame, Classifier | None, Fit]:
