@@ -38,15 +38,19 @@ def customer_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return lookup_join(orders.select(*ORDER_COLUMNS), known, "customer_id")
 
 
-def sales_enriched(order_items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Items with category and seller place."""
+def items_with_category(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Items with the category of their product."""
     items = order_items.select(
         "order_id", "order_item_key", "product_id", "seller_id", "price", "freight_value"
     )
     label = F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown"))
-    categories = products.select("product_id", label.alias("category_name"))
+    return lookup_join(items, products.select("product_id", label.alias("category_name")), "product_id")
+
+
+def sales_enriched(order_items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Items with category and seller place."""
     places = sellers.select("seller_id", "seller_city", "seller_state")
-    return lookup_join(lookup_join(items, categories, "product_id"), places, "seller_id")
+    return lookup_join(items_with_category(order_items, products), places, "seller_id")
 
 
 def order_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
