@@ -6,7 +6,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.plans import deltas
 from lakemart.session import lean, shared_folder, stored
 from lakemart.sources import change_log
 from tests.compare import rows
@@ -96,7 +95,14 @@ def test_placed_rows_are_committed_as_others(spark, tmp_path):
     assert states[0] == states[1] and len(states[0]) == 5
 
 
-def test_a_delta_without_a_difference_writes_nothing(spark):
-    old = spark.createDataFrame([(day(0), 2, 5), (day(1), 1, None)], "d date, n long, v long")
-    new = spark.createDataFrame([(day(0), 2, 5), (day(1), 1, None), (day(2), 1, 0)], "d date, n long, v long")
-    assert rows(deltas.signed(old, new, ["d"], ["n", "v"]), "d", "n", "v") == [(day(2), 1, 0)]
+def test_a_feed_of_one_column_tells_the_same_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    two_commits(spark, path)
+    # One row as it was, one whose value goes missing, one deleted and a late one.
+    again = [("a", 2, 10, day(40), False), ("c", 1, None, day(1), False), ("d", 1, 30, day(0), True), ("b", 3, 8, day(0), False)]
+    change_log.append_commit(spark.createDataFrame(again, f"{SCHEMA}, _deleted boolean"), path, PARTED, "3", keyed=True)
+    whole = change_log.change_feed(spark, path, PARTED, since="1")
+    narrow = change_log.change_feed(spark, path, PARTED, since="1", only=["k"])
+    columns = ("_commit_time", "change_type", "k")
+    assert rows(narrow, *columns) == rows(whole, *columns) and len(rows(whole, *columns)) == 5
+    assert "value" not in "".join(re.findall("Exchange .*", plan(narrow)))
